@@ -5,15 +5,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, quality_rules
+from . import exact_dedup, mixing, packing, quality_classifier, quality_rules, toxicity
 from .common import table
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = toxicity.toxicity(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "held_out", "score", "predicted", "n_passages")
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_rules.quality_rules(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality_classifier.quality(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "held_out", "score", "predicted")
+
+
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.draws(table(spark, sf_dir, "documents"))
     shards = F.concat_ws(",", F.transform("draws", lambda d: d["shard"].cast("string")))
@@ -24,6 +40,10 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def queries() -> dict:
-    own = (op2_quality_rules, op4_source_mix, op6_exact_dedup)
+    own = (op1_toxicity, op2_quality_rules, op3_quality_classifier, op4_source_mix, op6_exact_dedup, op8_packing)
     return {f.__name__: f for f in own}
