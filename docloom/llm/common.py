@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,3 +59,19 @@ def cut(df: DataFrame) -> DataFrame:
     """The same rows, written to the shared checkpoint folder and free of lineage; columns should be few and narrow."""
     ready(df.sparkSession)
     return df.checkpoint()
+
+
+def saved(df: DataFrame) -> tuple[DataFrame, str]:
+    """The same rows from a Parquet table in the shared checkpoint folder, and its path for discard(). For tables too large to cut()."""
+    spark = df.sparkSession
+    ready(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Removes a saved table that no later step reads."""
+    sc = spark.sparkContext
+    where = sc._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(sc._jsc.hadoopConfiguration()).delete(where, True)

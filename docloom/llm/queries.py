@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, packing, quality_classifier, quality_rules, toxicity
+from . import exact_dedup, mixing, packing, quality_classifier, quality_rules, suffix_dedup, toxicity
 from .common import table
 
 
@@ -36,6 +36,10 @@ def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", shards.alias("shards"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -45,5 +49,5 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    own = (op1_toxicity, op2_quality_rules, op3_quality_classifier, op4_source_mix, op6_exact_dedup, op8_packing)
+    own = (op1_toxicity, op2_quality_rules, op3_quality_classifier, op4_source_mix, op5_suffix_dedup, op6_exact_dedup, op8_packing)
     return {f.__name__: f for f in own}
