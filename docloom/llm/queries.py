@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, packing, quality_classifier, quality_rules, suffix_dedup, toxicity
+from . import exact_dedup, mixing, near_dedup, packing, quality_classifier, quality_rules, suffix_dedup, toxicity
 from .common import table
 
 
@@ -44,10 +44,14 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size", "n_links", "kept")
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
 def queries() -> dict:
-    own = (op1_toxicity, op2_quality_rules, op3_quality_classifier, op4_source_mix, op5_suffix_dedup, op6_exact_dedup, op8_packing)
+    own = (op1_toxicity, op2_quality_rules, op3_quality_classifier, op4_source_mix, op5_suffix_dedup, op6_exact_dedup, op7_minhash_near_dedup, op8_packing)
     return {f.__name__: f for f in own}
