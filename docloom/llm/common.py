@@ -61,11 +61,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared checkpoint folder."""
+    ready(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
 def saved(df: DataFrame) -> tuple[DataFrame, str]:
     """The same rows from a Parquet table in the shared checkpoint folder, and its path for discard(). For tables too large to cut()."""
     spark = df.sparkSession
-    ready(spark)
-    path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    path = scratch(spark, "table")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, near_dedup, packing, quality_classifier, quality_rules, suffix_dedup, toxicity
-from .common import table
+from . import exact_dedup, mixing, near_dedup, packing, quality_classifier, quality_rules, suffix_dedup, toxicity, warc
+from .common import scratch, table
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -52,6 +52,13 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = warc.pages_to_arc(table(spark, sf_dir, "pages"), "page_id", "url", "html")
+    out = warc.arc_to_warc(archives, scratch(spark, "warc"))
+    number = {c: F.expr(f"try_cast({c} AS bigint)") for c in ("key", "refers_to")}
+    return out.select(number["key"].alias("page_id"), "payload_bytes", "payload_digest", "record_type", number["refers_to"].alias("refers_to"))
+
+
 def queries() -> dict:
-    own = (op1_toxicity, op2_quality_rules, op3_quality_classifier, op4_source_mix, op5_suffix_dedup, op6_exact_dedup, op7_minhash_near_dedup, op8_packing)
+    own = (op1_toxicity, op2_quality_rules, op3_quality_classifier, op4_source_mix, op5_suffix_dedup, op6_exact_dedup, op7_minhash_near_dedup, op8_packing, op9_warc)
     return {f.__name__: f for f in own}

@@ -26,8 +26,17 @@ FROM hashed WINDOW g AS (PARTITION BY text_sha256)
 """
 
 
+OP9 = """
+WITH hashed AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+firsts AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM hashed)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+FROM firsts
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     from .quality_rules import STOP_WORDS
 
     quoted = ", ".join(f"'{x}'" for x in dict.fromkeys(STOP_WORDS))
-    return {"op2_quality_rules": OP2.replace("{stop}", quoted), "op6_exact_dedup": OP6}
+    return {"op2_quality_rules": OP2.replace("{stop}", quoted), "op6_exact_dedup": OP6, "op9_warc": OP9}
