@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, near_dedup, packing, quality_classifier, quality_rules, suffix_dedup, toxicity, warc
+from . import exact_dedup, licenses, mixing, near_dedup, packing, quality_classifier, quality_rules, suffix_dedup, toxicity, warc
 from .common import scratch, table
 
 
@@ -59,6 +59,11 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(number["key"].alias("page_id"), "payload_bytes", "payload_digest", "record_type", number["refers_to"].alias("refers_to"))
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = licenses.scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", *licenses.OUTPUT)
+
+
 def queries() -> dict:
-    own = (op1_toxicity, op2_quality_rules, op3_quality_classifier, op4_source_mix, op5_suffix_dedup, op6_exact_dedup, op7_minhash_near_dedup, op8_packing, op9_warc)
+    own = (op1_toxicity, op2_quality_rules, op3_quality_classifier, op4_source_mix, op5_suffix_dedup, op6_exact_dedup, op7_minhash_near_dedup, op8_packing, op9_warc, op10_license_scan)
     return {f.__name__: f for f in own}
