@@ -140,7 +140,7 @@ def evidence_of(texts: pa.Array, model: Model) -> tuple[np.ndarray, np.ndarray,
     s = np.maximum(0.0, s - model.least)
     best = np.zeros(len(n))
     np.maximum.at(best, d, s)
-    return np.bincount(d, s, minlength=len(n)), best, np.bincount(d, s > 0, minlength=len(n)).astype(np.int64), n
+    return np.bincount(d, s, minlength=len(n)).astype(np.float64), best, np.bincount(d, s > 0, minlength=len(n)).astype(np.int64), n
 
 
 def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
