@@ -6,7 +6,8 @@ from collections.abc import Iterable
 
 import pandas as pd
 from pyspark.sql import Column
-from pyspark.sql import functions as F
+
+from .udf import vectorised
 
 
 def common(a: str, b: str) -> int:
@@ -82,7 +83,7 @@ def best_of(text: str, others: Iterable[str]) -> tuple[float, int]:
 
 
 def _pairwise(function):
-    @F.pandas_udf("double")
+    @vectorised("double")
     def run(a: pd.Series, b: pd.Series) -> pd.Series:
         return pd.Series([None if x is None or y is None else function(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
 

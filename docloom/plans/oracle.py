@@ -102,8 +102,8 @@ SELECT doc_id, item_id, max(run) AS run FROM runs GROUP BY 1, 2""",
 marked AS (SELECT *, CASE WHEN s <= max(e) OVER (PARTITION BY o_custkey ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS new FROM own),
 runs AS (SELECT *, sum(new) OVER (PARTITION BY o_custkey ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS run FROM marked)
 SELECT o_custkey, min(s) AS start_day, max(e) AS end_day, count(*) AS parts FROM runs GROUP BY o_custkey, run""",
-        "entity_registry": """WITH first AS (SELECT n_name AS entity_id, concat(lower(c_mktsegment), ' code') AS a, min(c_custkey) AS at FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2)
-SELECT entity_id, min_by(a, at) AS canonical, CAST(count(*) AS INT) AS n_aliases, string_agg(a, ', ' ORDER BY at) AS aliases FROM first GROUP BY 1""",
+        "entity_registry": """WITH first AS (SELECT n_name AS entity_id, concat(lower(c_mktsegment), ' code') AS a, min(c_custkey) AS seq FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2)
+SELECT entity_id, min_by(a, seq) AS canonical, CAST(count(*) AS INT) AS n_aliases, string_agg(a, ', ' ORDER BY seq) AS aliases FROM first GROUP BY 1""",
         "relation_dedupe": f"WITH {_EDGES} SELECT * FROM last",
         "relations_of": f"WITH {_EDGES} SELECT * FROM last WHERE from_id = 's7' OR to_id = 's7'",
         "evidence_integrity": "SELECT l_returnflag, count(*) AS n FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P') GROUP BY 1",
@@ -133,6 +133,7 @@ SELECT u.*, round((input_tokens * CAST(coalesce(i, 0) AS DOUBLE) + cache_read_to
         "cost_estimate": f"""WITH {_LEGAL}, t AS (SELECT count(*) AS n, CAST(coalesce(sum(token_estimate), 0) AS BIGINT) AS tokens FROM legal WHERE {_SKIP} IS NULL)
 SELECT n, tokens, {', '.join(f"round(((tokens + 2500 * n) * 2e0 + tokens * {s}e0 * {k}e0 * 10e0 + (tokens * {s}e0 + 2500 * n) * 4e0 + tokens * {s}e0 * {k}e0 * 20e0) / 1e6, 2) AS {name}" for name, s, k in (('low', 0.25, 1.2), ('high', 0.6, 2.0)))} FROM t""",
         "run_totals": "SELECT count(*) AS documents, count(*) AS sections, CAST(sum(length(o_orderpriority)) AS BIGINT) AS skipped, CAST(sum(o_orderkey % 5) AS BIGINT) AS stored FROM orders",
-        "export_sources": """WITH spans AS (SELECT l_orderkey AS record_id, l_partkey AS doc, min(l_linenumber) AS a, max(l_linenumber) AS b FROM lineitem GROUP BY 1, 2)
-SELECT record_id, min_by(doc, a) AS first_doc, min_by(coalesce(p_name, ''), a) AS first_file, min(a) AS page_start, min_by(b, a) AS page_end, CAST(count(*) - 1 AS INT) AS n_more FROM spans LEFT JOIN part ON doc = p_partkey GROUP BY 1""",
+        "export_sources": """WITH spans AS (SELECT l_orderkey AS record_id, l_partkey AS doc, min(l_linenumber) AS a, max(l_linenumber) AS b FROM lineitem GROUP BY 1, 2),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY record_id ORDER BY a, doc) AS r, count(*) OVER (PARTITION BY record_id) AS n FROM spans)
+SELECT record_id, doc AS first_doc, coalesce(p_name, '') AS first_file, a AS page_start, b AS page_end, CAST(n - 1 AS INT) AS n_more FROM ranked LEFT JOIN part ON doc = p_partkey WHERE r = 1""",
     }

@@ -47,7 +47,7 @@ def parse_documents(files: DataFrame, parser: Callable[[bytes], list[dict]]) ->
                     rows += [{"doc_id": f.doc_id, "page": i, "is_ocr": False, **p, "path": f.path, "filename": f.filename, "error": None} for i, p in enumerate(pages, 1)]
                 except Exception as e:  # noqa: BLE001  any fault of a file is that file's
                     rows.append({"doc_id": f.doc_id, "path": f.path, "filename": f.filename, "error": f"{type(e).__name__}: {e}"})
-            yield pd.DataFrame(rows, columns=names)
+            yield pd.DataFrame([{n: r.get(n) for n in names} for r in rows], columns=names, dtype=object)
 
     parsed = files.select("doc_id", "path", "filename", "content").mapInPandas(run, kinds)
     pages = parsed.filter("error is null").drop("path", "filename", "error").withColumn("tables", usable_tables(F.col("tables")))
