@@ -19,6 +19,8 @@ from __future__ import annotations
 
 import heapq
 import os
+import sys
+import types
 import zlib
 from collections.abc import Iterator
 
@@ -30,6 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .wordpieces import MOST_BYTES, PATTERN, WordPieces
+
 CAPACITY = 4096
 END_ID = 2
 CHUNK_DOCS = 1024
@@ -39,20 +43,19 @@ CACHED_WORDS = 400_000
 
 class WordCache:
     """Ids of texts by way of their distinct blank-separated words. Only for tokenizers whose pieces never cross or hold white space and
-    whose ids of a word don't depend on its neighbours; the end of a word is where ASCII white space stands."""
+    whose ids of a word don't depend on its neighbours; the end of a word is where ASCII white space stands. Words of letters with signs
+    behind them, nearly all there are, are encoded together by WordPieces; the tokenizer encodes the others, and the signs."""
 
     def __init__(self, path: str, most: int = CACHED_WORDS):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.most = Tokenizer.from_file(path), most
+        self.tokenizer, self.pieces, self.most = Tokenizer.from_file(path), WordPieces(path), most
         self.known: dict[str, np.ndarray] = {}
 
-    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """All ids, and where each text's ids end."""
-        split = pc.ascii_split_whitespace(texts)
-        words = split.flatten().dictionary_encode()
-        distinct = words.dictionary.to_pylist()
+    def by_tokenizer(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """ids of the words one after another, and each word's number of ids."""
+        distinct = words.to_pylist()
         if len(self.known) + len(distinct) > self.most:
             self.known.clear()
         new = [w for w in distinct if w not in self.known]
@@ -61,8 +64,38 @@ class WordCache:
             for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
                 self.known[w] = np.array(e.ids, dtype=np.uint32)
         each = [self.known[w] for w in distinct]
-        flat = np.concatenate(each) if each else np.zeros(0, np.uint32)
-        lengths = np.fromiter(map(len, each), np.int64, len(each))
+        return np.concatenate(each) if each else np.zeros(0, np.uint32), np.fromiter(map(len, each), np.int64, len(each))
+
+    def of_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The same, for distinct words: most are parted into letters and signs, of which there are fewer kinds."""
+        parts = pc.extract_regex(words, PATTERN)
+        letters, tail = pc.struct_field(parts, "letters"), pc.struct_field(parts, "tail")
+        fits = pc.and_kleene(parts.is_valid(), pc.less_equal(pc.binary_length(words), MOST_BYTES)).fill_null(False).to_numpy(zero_copy_only=False)
+        rows = np.flatnonzero(fits)
+        lower, signs = (pc.utf8_lower(letters.take(pa.array(rows))).dictionary_encode(), tail.take(pa.array(rows)).dictionary_encode())
+        rest = np.flatnonzero(~fits)
+        groups = [self.pieces.encode(lower.dictionary), self.by_tokenizer(signs.dictionary), self.by_tokenizer(words.take(pa.array(rest)))]
+        flat = np.concatenate([g[0] for g in groups])
+        # each word is one or two runs of flat: where they start and how long they are
+        starts, lengths, base = [], [], 0
+        for ids, n in groups:
+            starts.append(base + np.cumsum(n) - n)
+            lengths.append(n)
+            base += len(ids)
+        at, n = np.zeros((len(words), 2), np.int64), np.zeros((len(words), 2), np.int64)
+        for k, codes in enumerate((lower.indices, signs.indices)):
+            code = codes.to_numpy(zero_copy_only=False).astype(np.int64)
+            at[rows, k], n[rows, k] = starts[k][code], lengths[k][code]
+        at[rest, 0], n[rest, 0] = starts[2], lengths[2]
+        at, n = at.ravel(), n.ravel()
+        ids = flat[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(at, n)]
+        return ids, n.reshape(-1, 2).sum(axis=1)
+
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids, and where each text's ids end."""
+        split = pc.ascii_split_whitespace(texts)
+        words = split.flatten().dictionary_encode()
+        flat, lengths = self.of_words(words.dictionary)
         starts = np.cumsum(lengths) - lengths
         codes = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         n = lengths[codes]
@@ -71,6 +104,14 @@ class WordCache:
         return ids, ends[np.asarray(split.offsets)[1:] - np.asarray(split.offsets)[0]]
 
 
+def worker_cache(path: str) -> WordCache:
+    """One per Python worker: it outlives the task, as functions of this package, which travel by value, don't."""
+    state = sys.modules.setdefault("docloom_worker_state", types.ModuleType("docloom_worker_state")).__dict__
+    if path not in state:
+        state[path] = WordCache(path)
+    return state[path]
+
+
 def differencing(sizes: np.ndarray, windows: int) -> np.ndarray:
     """The window of each item; windows' sums are near one another."""
     n = len(sizes)
@@ -172,7 +213,7 @@ def pack(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text
     schema = T.StructType([T.StructField(key, kind), *T.StructType.fromDDL(SCHEMA)] + [T.StructField("ids", T.ArrayType(T.IntegerType()))] * with_ids)
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, base = WordCache(tokenizer), TaskContext.get().partitionId() << 40
+        cache, base = worker_cache(tokenizer), TaskContext.get().partitionId() << 40
         for names, texts in chunks(batches):
             ids, ends = cache.ids(texts)
             lengths = np.diff(ends, prepend=0) + 1
