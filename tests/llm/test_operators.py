@@ -334,3 +334,22 @@ def test_empty_tables(spark, docs):
         assert out.count() == 0
     assert {round(r.score, 9) for r in toxicity.toxicity(docs, labels).collect()} == {0.5}
     assert quality_classifier.quality(docs, labels).count() == len(ROWS)
+
+
+def test_components(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    pairs = [(int(a), int(b)) for a, b in rng.integers(0, 400, (330, 2))] + [(k, k + 1) for k in range(1000, 1060)]
+    parent = {x: x for p in pairs for x in p}
+
+    def find(x):
+        return x if parent[x] == x else find(parent[x])
+
+    for a, b in pairs:
+        x, y = find(a), find(b)
+        parent[max(x, y)] = min(x, y)
+    want = {x: find(x) for a, b in pairs if a != b for x in (a, b)}
+    links = spark.createDataFrame(pairs, "a long, b long")
+    for most in (500_000, 40):  # one partition, and several with stars after them
+        monkeypatch.setattr(near_dedup, "CONTRACT_EDGES", most)
+        rows = near_dedup.components(links).collect()
+        assert {r.node: r.component for r in rows} == want and len(rows) == len(want)
