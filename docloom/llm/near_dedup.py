@@ -7,11 +7,12 @@
    agree in it with probability equal to their weighted Jaccard similarity. Points are made in order of time and only while they
    can still lower the signature: about m ln m points a text, not m for every shingle.
 3. BANDS bands of COMPONENTS / BANDS values are hashed to buckets. At a similarity of 0.8 a pair shares none with probability 3e-6.
-4. Links are verified on the full shingle multisets. In each round the members of a bucket are compared with one member, its
-   leader; as links merge nodes into components, only buckets with several components go on, and when the pairs left between different
-   components of a bucket are no more than a small multiple of the members, they are all compared. No pair inside a component
-   is ever made, none between components is left out, and no cap is set.
-5. Components are found by alternating large-star and small-star steps on the links, in Spark.
+4. Links are verified on the full shingle multisets. First the members of a bucket are compared with its leader, their least node, and
+   linked nodes become components. Members of a bucket that are then in different components are dealt out in blocks of bounded size,
+   and a task compares two blocks: only pairs of different components that share one of their rarest shingles (the prefix filter,
+   which loses no pair) and that no earlier link joins. No pair inside a component is made, no pair is written unless it is a
+   link, and no cap is set.
+5. Components are found by contracting links within partitions, then by alternating large-star and small-star steps in Spark.
 
 What is written to the checkpoint folder: hashes and band values of each text, and the shingle hashes of texts with a candidate pair.
 
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import bloom
-from .common import cut, saved, text_of
+from .common import cut, discard, saved, text_of
 from .suffix_dedup import mix
 from .toxicity import slices
 
@@ -41,10 +42,12 @@ SHINGLE = 5
 BANDS = 32
 COMPONENTS = 160
 THRESHOLD = 0.8
-#: All pairs left between components are compared at once when they are at most PAIRS_PER_MEMBER for each bucket member, or FEW_PAIRS.
-PAIRS_PER_MEMBER = 4
-FEW_PAIRS = 200_000
-DEBUG = False
+#: Nodes and bytes of shingles in a block; two blocks meet in a task.
+BLOCK_NODES, BLOCK_BYTES = 2048, 16 << 20
+#: Links that one task contracts.
+CONTRACT_EDGES = 500_000
+#: Candidate pairs looked at together in a task.
+TILE_PAIRS = 2_000_000
 
 _P = np.uint64(0x9E3779B97F4A7C15)
 
@@ -150,11 +153,37 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
     return both / (len(a) + len(b) - both) if len(a) or len(b) else 0.0
 
 
+def contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Edges (a, b) of one partition as (node, least node reached in this partition)."""
+    table = pa.Table.from_batches(list(batches), pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+    a, b = table.column(0).to_numpy(), table.column(1).to_numpy()
+    names, code = np.unique(np.concatenate([a, b]), return_inverse=True)
+    u, v = code[: len(a)], code[len(a) :]
+    root = np.arange(len(names))
+    while True:  # every root takes the least root next to it, then paths are cut short
+        low = np.minimum(root[u], root[v])
+        new = root.copy()
+        np.minimum.at(new, root[u], low)
+        np.minimum.at(new, root[v], low)
+        while not np.array_equal(new, new[new]):
+            new = new[new]
+        new = new[root]
+        if np.array_equal(new, root):
+            break
+        root = new
+    moved = np.flatnonzero(root != np.arange(len(names)))
+    yield pa.RecordBatch.from_arrays([pa.array(names[moved]), pa.array(names[root[moved]])], names=["a", "b"])
+
+
 def components(links: DataFrame) -> DataFrame:
     """links: a, b. node and component (the least node reached) of every node with a link."""
     edges = cut(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct())
+    # partitions of at most CONTRACT_EDGES edges shrink to stars by themselves; with one partition that is all
+    parts = -(-edges.count() // CONTRACT_EDGES)
+    own = edges.coalesce(1) if parts <= 1 else edges.repartition(parts)
+    edges = cut(own.mapInArrow(contracted, "a long, b long"))
     before = None
-    while True:
+    while parts > 1:
         # large star: a node's larger neighbours move to its least one
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
@@ -221,18 +250,18 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", thres
     """One row per input row: key, class_id, class_size, n_links (verified links of its text to others), kept, and two hashes of the text."""
     texts = docs.select(F.col(key).alias("id"), text_of(text).alias("text"))
     who = F.struct("id", F.monotonically_increasing_id().alias("row"), *_hashes(F.col("text")))
-    read, _ = saved(_read(texts.select(who.alias("who"), "text"), bands, m))
+    read, read_path = saved(_read(texts.select(who.alias("who"), "text"), bands, m))
     nodes = read.filter("n > 0").groupBy("g1", "g2").agg(F.min("row").alias("node"))
     own = cut(read.join(nodes, ["g1", "g2"], "left").select("id", "row", "t1", "t2", F.coalesce("node", "row").alias("node")))
     heads = read.join(nodes.select("node"), F.col("row") == F.col("node"), "left_semi")
     members = heads.select(F.col("row").alias("node"), F.explode("bands").alias("bucket"))
     shared = members.groupBy("bucket").agg(F.min("node").alias("leader"), F.count("*").alias("size")).filter("size > 1")
     held = cut(members.join(shared.select("bucket"), "bucket"))
-    links = None
+    links = sets_path = None
     if not held.isEmpty():
         wanted = heads.join(held.select("node").distinct(), F.col("row") == F.col("node"), "left_semi").select(F.col("row").alias("node"), "g1", "g2", "n")
         wanted = cut(wanted)
-        sets, _ = saved(_shingle_sets(texts, wanted))
+        sets, sets_path = saved(_shingle_sets(texts, wanted))
         links = _links(held, wanted.select("node", "n"), sets, threshold)
     if links is None:
         out = own.withColumn("component", F.col("node")).withColumn("n_links", F.lit(0).cast("long"))
@@ -243,6 +272,8 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", thres
         out = own.join(labelled, "node", "left").withColumn("component", F.coalesce("c", "node")).withColumn("n_links", F.coalesce("n_links", F.lit(0).cast("long")))
     out = cut(out.select("id", "row", "t1", "t2", "component", "n_links"))
     classes = cut(out.groupBy("component").agg(F.min("id").alias("class_id"), F.min(F.struct(F.col("id").isNull().alias("z"), "id", "row"))["row"].alias("stays"), F.count("*").alias("class_size")))
+    for path in filter(None, (read_path, sets_path)):
+        discard(docs.sparkSession, path)
     out = out.join(classes, "component")
     return out.select(F.col("id").alias(key), "class_id", "class_size", "n_links", (F.col("row") == F.col("stays")).alias("kept"), "t1", "t2")
 
@@ -253,40 +284,102 @@ def _hashes(text: Column) -> tuple[Column, Column]:
 
 def _links(held: DataFrame, sizes: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """Verified links among bucket members (bucket, node): enough of them that every pair alike is joined by a chain of links."""
-    n_members = held.count()
-    tested = links = label = None
-    turn = 0
-    while True:
-        labelled = held.withColumn("c", F.col("node")) if label is None else held.join(label, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component")
-        split = labelled.groupBy("bucket", "c").agg(F.count("*").alias("k")).groupBy("bucket").agg(F.sum("k").alias("n"), F.sum(F.col("k") * F.col("k")).alias("q"), F.count("*").alias("parts"))
-        split = split.filter("parts > 1")
-        open_ = cut(labelled.join(split.select("bucket"), "bucket"))
-        n_pairs = split.agg(F.coalesce(F.sum((F.col("n") * F.col("n") - F.col("q")) / 2), F.lit(0.0))).first()[0]
-        if DEBUG: print("turn", turn, "members", n_members, "pairs left", n_pairs, split.orderBy(F.desc("n")).limit(5).collect())
-        if not n_pairs:
-            break
-        everything = turn > 0 and n_pairs <= max(FEW_PAIRS, PAIRS_PER_MEMBER * n_members)
-        if everything:
-            a, b = open_.select("bucket", F.col("node").alias("a"), F.col("c").alias("ca")), open_.select("bucket", F.col("node").alias("b"), F.col("c").alias("cb"))
-            pairs = a.join(b, "bucket").filter("a > b and ca <> cb")
-        else:  # one member of each bucket leads; by hash of the round, so that every member's turn comes
-            order = F.col("node") if turn == 0 else F.xxhash64("node", F.lit(turn))
-            leader = cut(open_.groupBy("bucket").agg(F.min(F.struct(order.alias("o"), "node", "c")).alias("l")).select("bucket", F.col("l.node").alias("leader"), F.col("l.c").alias("lc")))
-            pairs = open_.join(leader, "bucket").filter("c <> lc").select(F.greatest("node", "leader").alias("a"), F.least("node", "leader").alias("b"))
-        pairs = pairs.select("a", "b").distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = cut(pairs)
-        na, nb = sizes.select(F.col("node").alias("a"), F.col("n").alias("na")), sizes.select(F.col("node").alias("b"), F.col("n").alias("nb"))
-        fit = pairs.join(na, "a").join(nb, "b").filter(F.least("na", "nb") >= threshold * F.greatest("na", "nb")).select("a", "b")
-        new = cut(_verified(fit, sets, threshold))
-        links = new if links is None else cut(links.unionByName(new))
-        if everything:
-            break
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        label = components(links)
-        turn += 1
-    return links
+    leaders = cut(held.groupBy("bucket").agg(F.min("node").alias("leader")))
+    pairs = held.join(leaders, "bucket").filter("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
+    na, nb = sizes.select(F.col("node").alias("a"), F.col("n").alias("na")), sizes.select(F.col("node").alias("b"), F.col("n").alias("nb"))
+    fit = pairs.join(na, "a").join(nb, "b").filter(F.least("na", "nb") >= threshold * F.greatest("na", "nb")).select("a", "b")
+    links = cut(_verified(fit, sets, threshold))
+
+    # what is left: pairs of different components in one bucket, neither of them the leader
+    label = components(links)
+    labelled = held.join(label, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("c")).join(leaders, "bucket")
+    others = labelled.filter("node <> leader").groupBy("bucket").agg(F.min("c").alias("c1"), F.max("c").alias("c2")).filter("c1 <> c2").select("bucket")
+    left = cut(labelled.filter("node <> leader").join(others, "bucket").select("bucket", "node", "c"))
+    if left.isEmpty():
+        return links
+    chain = left.groupBy("bucket").agg(F.min("node").alias("b"))
+    cluster = components(left.join(chain, "bucket").select(F.col("node").alias("a"), "b"))  # nodes that share buckets, step by step
+    nodes = left.select("node", "c").distinct().join(cluster.withColumnRenamed("component", "cluster"), "node").join(sizes, "node")
+    blocks = nodes.groupBy("cluster").agg(F.ceil(F.greatest(F.count("*") / BLOCK_NODES, F.sum("n") * 8 / BLOCK_BYTES)).cast("int").alias("blocks"))
+    placed = nodes.join(blocks, "cluster").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    tiles = placed.select("cluster", "node", "c", "block", other).select("cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "c", (F.col("block") <= F.col("other")).alias("first"))
+    tiles = tiles.withColumn("tile", F.xxhash64("cluster", "i", "j")).join(sets, "node").select("tile", "cluster", "i", "j", "node", "c", "first", "shingles")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:  # in order of tile: all but the last tile's rows are complete
+            held.append(batch)
+            tile = batch.column(0).to_numpy()
+            if len(tile) and (tile[-1] != tile[0] or held[0].column(0)[0].as_py() != tile[0]):
+                table = pa.Table.from_batches(held).combine_chunks()
+                tile = table.column(0).to_numpy()
+                starts = np.flatnonzero(np.concatenate([[True], tile[1:] != tile[:-1]]))
+                for x, y in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+                    yield of_tile(table.slice(x, y - x))
+                held = table.slice(int(starts[-1])).to_batches()
+        if held:
+            yield of_tile(pa.Table.from_batches(held))
+
+    def of_tile(table: pa.Table) -> pa.RecordBatch:
+        node, c, first = (table.column(k).to_numpy() for k in ("node", "c", "first"))
+        own = [np.frombuffer(x, np.uint64) for x in table.column("shingles").to_pylist()]
+        same = table.column("i")[0] == table.column("j")[0]
+        found = links_of_tile(own, c, None if same else first, threshold)
+        return pa.RecordBatch.from_arrays([pa.array(np.maximum(node[found[:, 0]], node[found[:, 1]])), pa.array(np.minimum(node[found[:, 0]], node[found[:, 1]]))], names=["a", "b"])
+
+    more = tiles.repartition("tile").sortWithinPartitions("tile").mapInArrow(run, "a long, b long")
+    return cut(links.unionByName(more).distinct())
+
+
+def links_of_tile(sets: list[np.ndarray], component: np.ndarray, side: np.ndarray | None, threshold: float) -> np.ndarray:
+    """Pairs (places in `sets`) of different components, and of different sides if there are sides, that are alike: enough that every alike
+    pair is joined by a chain. Only pairs that share one of their rarest shingles are compared: multisets of n >= m shingles that are
+    alike share one of the (1 - t) n + 1 rarest of the first and the (1 - 2t / (1 + t)) m + 1 rarest of the second."""
+    n = len(sets)
+    size = np.array([len(s) for s in sets], dtype=np.int64)
+    owner = np.repeat(np.arange(n), size)
+    _, code, count = np.unique(np.concatenate(sets) if n else np.zeros(0, np.uint64), return_inverse=True, return_counts=True)
+    by = np.lexsort((code, count[code], owner))
+    code, owner = code[by], owner[by]
+    place = np.arange(len(code)) - np.repeat(np.cumsum(size) - size, size)
+    repeated = count[code] > 1
+    probe = np.flatnonzero(repeated & (place < (size - np.ceil(threshold * size - 1e-9) + 1)[owner]))
+    index = np.flatnonzero(repeated & (place < (size - np.ceil(2 * threshold / (1 + threshold) * size - 1e-9) + 1)[owner]))
+    probe, index = probe[np.argsort(code[probe], kind="stable")], index[np.argsort(code[index], kind="stable")]
+    lo, hi = np.searchsorted(code[probe], code[index], "left"), np.searchsorted(code[probe], code[index], "right")
+    # union-find over the given components, so that pairs joined by earlier links aren't compared
+    names, root = np.unique(component, return_inverse=True)
+    parent = np.arange(len(names))
+
+    def find(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = int(parent[x])
+        return x
+
+    out: list[tuple[int, int]] = []
+    seen = np.zeros(0, np.int64)
+    at = 0
+    ends = np.cumsum(hi - lo)
+    while at < len(index):
+        stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + TILE_PAIRS, "right")))
+        k = hi[at:stop] - lo[at:stop]
+        a = np.repeat(owner[index[at:stop]], k)
+        b = owner[probe[np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k) + np.repeat(lo[at:stop], k)]]
+        at = stop
+        top = np.array([find(x) for x in range(len(names))])[root]
+        ok = (top[a] != top[b]) & (np.minimum(size[a], size[b]) >= threshold * np.maximum(size[a], size[b]))
+        if side is not None:
+            ok &= side[a] != side[b]
+        pair = np.setdiff1d(np.minimum(a[ok], b[ok]) * n + np.maximum(a[ok], b[ok]), seen)
+        seen = np.union1d(seen, pair)
+        for x, y in zip((pair // n).tolist(), (pair % n).tolist(), strict=True):
+            p, q = find(int(root[x])), find(int(root[y]))
+            if p != q and similarity(sets[x], sets[y]) >= threshold:
+                parent[max(p, q)] = min(p, q)
+                out.append((x, y))
+    return np.array(out, dtype=np.int64).reshape(-1, 2)
 
 
 def near_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
