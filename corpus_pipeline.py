@@ -49,7 +49,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages over `documents`, each written below the checkpoint folder and read again; the last one's rows."""
-    docs = common.table(spark, sf_dir, "documents")
+    docs, before = common.table(spark, sf_dir, "documents"), None
     for _, stage in STAGES[:-1]:
-        docs, _ = common.saved(stage(spark, docs, sf_dir))
+        docs, path = common.saved(stage(spark, docs, sf_dir))
+        if before:
+            common.discard(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)
