@@ -38,7 +38,7 @@ from .common import cut, discard, saved, text_of
 WIDTH = 200
 GRAM = 64
 PIECE = 1 << 19
-MOST_CONTEXTS = 4096
+MOST_CONTEXTS = 16384
 PLACE_BITS = 24
 
 #: Odd multipliers of the fingerprint: fixed values.
