@@ -18,6 +18,7 @@ gives archives without records.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import uuid
 from collections.abc import Iterator
@@ -33,6 +34,8 @@ from .common import cut
 LEAST_REVISIT = 100
 #: Bytes of payload after which a new archive is begun.
 ARCHIVE_BYTES = 4_000_000
+#: Repeated payloads (a digest, a key and an id each, about 150 bytes) that are broadcast at most.
+BROADCAST_ROWS = 100_000
 DATE = "20240101000000"
 #: The header-line fields of ARC versions 1 and 2.
 FIELDS = {
@@ -97,8 +100,8 @@ def _date(value: str) -> str:
     return f"{v[:4]}-{v[4:6]}-{v[6:8]}T{v[8:10]}:{v[10:12]}:{v[12:14]}Z"
 
 
-def convert(archives: DataFrame) -> DataFrame:
-    """archives: path and content, as Spark's binaryFile source gives them. One row of RECORD per document."""
+def convert(archives: DataFrame, payloads: bool = True) -> DataFrame:
+    """archives: path and content, as Spark's binaryFile source gives them. One row of RECORD per document; payloads may be left out."""
     schema = T.StructType.fromDDL(RECORD)
     names = schema.names
 
@@ -106,7 +109,7 @@ def convert(archives: DataFrame) -> DataFrame:
         kinds = [pa.string()] * 5 + [pa.binary(), pa.int64(), pa.string(), pa.string()]
         for batch in batches:
             for i in range(batch.num_rows):
-                rows = list(parse_arc(batch.column(0)[i].as_py(), batch.column(1)[i].as_py()))
+                rows = [r if payloads else r | {"payload": None} for r in parse_arc(batch.column(0)[i].as_py(), batch.column(1)[i].as_py())]
                 yield pa.RecordBatch.from_arrays([pa.array([r.get(n) for r in rows], k) for n, k in zip(names, kinds, strict=True)], names=names)
 
     return archives.select("path", "content").mapInArrow(run, schema)
@@ -139,13 +142,15 @@ def pages_to_arc(pages: DataFrame, key: str, url: str, payload: str) -> DataFram
     return own.mapInArrow(run, "path string, content binary")
 
 
-def with_types(records: DataFrame) -> DataFrame:
-    """records with record_type, refers_to (key of the response) and refers_to_id. Keys that are numbers are compared as numbers."""
+def with_types(records: DataFrame, headers: DataFrame | None = None) -> DataFrame:
+    """records with record_type, refers_to (key of the response) and refers_to_id. Keys that are numbers are compared as numbers. headers: the same
+    records without payloads, if they can be had for less."""
     order = F.struct(F.expr("key = '-'").alias("none"), F.expr("try_cast(key AS decimal(38,0))").isNull().alias("z"), F.expr("try_cast(key AS decimal(38,0))").alias("number"), "key", "record_id")
-    large = records.filter(F.col("payload_bytes") >= LEAST_REVISIT)
+    large = (records if headers is None else headers).filter(F.col("payload_bytes") >= LEAST_REVISIT)
     firsts = large.groupBy("payload_digest").agg(F.min(order).alias("first"), F.count("*").alias("n")).filter("n > 1")
     firsts = cut(firsts.select("payload_digest", F.col("first.key").alias("first_key"), F.col("first.record_id").alias("first_id")))
-    out = records.join(firsts, "payload_digest", "left")
+    # few repeated payloads are sent to all tasks; many meet the records by digest
+    out = records.join(F.broadcast(firsts) if firsts.count() <= BROADCAST_ROWS else firsts, "payload_digest", "left")
     revisit = F.col("first_id").isNotNull() & (F.col("payload_bytes") >= LEAST_REVISIT) & (F.col("record_id") != F.col("first_id"))
     kind = F.when(F.col("error").isNotNull(), "error").when(revisit, "revisit").otherwise("response")
     return out.withColumns({"record_type": kind, "refers_to": F.when(revisit, F.col("first_key")), "refers_to_id": F.when(revisit, F.col("first_id"))}).drop("first_key", "first_id")
@@ -162,10 +167,12 @@ def write_warc(records: DataFrame, path: str) -> None:
     ]
     body = F.when(F.col("record_type") == "revisit", F.lit("")).otherwise(F.col("payload").cast("string"))
     rows = records.filter("record_type <> 'error'").select(F.concat(F.concat_ws("\r\n", *head), F.lit("\r\n\r\n"), body).alias("value"))
-    rows.write.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", 2000).text(path)
+    rows.write.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", 2000).option("compression", "gzip").text(path)
 
 
 def parse_warc(content: bytes) -> Iterator[dict]:
+    """The records of one archive, gzipped or plain."""
+    content = gzip.decompress(content) if content[:2] == b"\x1f\x8b" else content
     at = 0
     while at < len(content):
         end = content.find(b"\r\n\r\n", at)
@@ -204,6 +211,6 @@ def read_warc(archives: DataFrame) -> DataFrame:
 
 def arc_to_warc(archives: DataFrame, path: str) -> DataFrame:
     """Converts, writes WARC archives under `path` and reads them back."""
-    write_warc(with_types(convert(archives)), path)
+    write_warc(with_types(convert(archives), convert(archives, payloads=False)), path)
     files = archives.sparkSession.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
     return read_warc(files)
