@@ -18,40 +18,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import bloom
 from .common import cut, lower_ascii, text_of
 
-SLICE_BITS = 15
-BITS_PER_ROW = 16
-
-
 def text_sha256(text: str = "text") -> Column:
     return F.sha2(lower_ascii(text_of(text)).cast("binary"), 256)
 
 
-def _bits(slices: int) -> dict[str, Column]:
-    return {
-        "slice": F.pmod(F.col("h"), F.lit(slices)).cast("int"),
-        "bits": F.array(F.shiftrightunsigned("h", 64 - SLICE_BITS).cast("int"), F.shiftrightunsigned(F.shiftleft("h", SLICE_BITS), 64 - SLICE_BITS).cast("int")),
-    }
-
-
-def _is_set(bitmap: Column, bit: Column) -> Column:
-    """bitmap_construct_agg keeps bit b in byte b div 8, lowest bit first."""
-    byte = F.conv(F.hex(F.substr(bitmap, F.shiftright(bit, 3) + 1, F.lit(1))), 16, 10).cast("int")
-    return F.getbit(byte.cast("long"), bit.bitwiseAND(F.lit(7))) == 1
-
-
 def possibly_repeated(keyed: DataFrame, n_rows: int) -> DataFrame:
     """keyed, with `maybe`: false only where no other row has the same `h`."""
-    slices = 1
-    while slices << SLICE_BITS < BITS_PER_ROW * n_rows:
-        slices *= 2
-    probes = keyed.withColumns(_bits(slices))
-    twice = probes.select("slice", F.explode("bits").alias("bit")).groupBy("slice", "bit").count().filter("count >= 2")
+    slices = bloom.slices_for(n_rows)
+    probes = keyed.withColumns(bloom.bits(F.col("h"), slices))
     # a row whose two bits are one bit sets it twice by itself: harmless, it only counts as a possible repeat
-    table = twice.groupBy("slice").agg(F.bitmap_construct_agg(F.col("bit").cast("long")).alias("bitmap"))
-    hit = F.col("bitmap").isNotNull() & _is_set(F.col("bitmap"), F.col("bits")[0]) & _is_set(F.col("bitmap"), F.col("bits")[1])
-    return probes.join(table, "slice", "left").withColumn("maybe", F.coalesce(hit, F.lit(False))).drop("slice", "bits", "bitmap")
+    twice = probes.select("slice", F.explode("bits").alias("bit")).groupBy("slice", "bit").count().filter("count >= 2")
+    table = cut(twice.groupBy("slice").agg(F.bitmap_construct_agg(F.col("bit").cast("long")).alias("bitmap")))
+    return bloom.probed(keyed, "h", table, slices)
 
 
 def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -59,7 +40,8 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     keyed = cut(docs.select(F.col(key).alias("id"), text_sha256(text).alias("sha")).withColumn("row", F.monotonically_increasing_id()))
     flagged = possibly_repeated(keyed.withColumn("h", F.xxhash64("sha")), keyed.count())
     maybe = flagged.filter("maybe").select("id", "sha", "row")
-    groups = maybe.groupBy("sha").agg(F.max(F.struct(F.col("id"), (-F.col("row")).alias("r"))).alias("best"), F.count("*").alias("group_size"))
+    # written before it is joined: both sides of the join are then plain exchanges, whose large partitions Spark can split
+    groups = cut(maybe.groupBy("sha").agg(F.max(F.struct(F.col("id"), (-F.col("row")).alias("r"))).alias("best"), F.count("*").alias("group_size")))
     compared = maybe.join(groups, "sha").select("id", F.col("best.id").alias("keep_id"), "group_size", (F.col("best.r") == -F.col("row")).alias("kept"), "sha")
     alone = flagged.filter(~F.col("maybe")).select("id", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "sha")
     return alone.unionByName(compared).select(F.col("id").alias(key), "keep_id", "group_size", "kept", F.col("sha").alias("text_sha256"))
