@@ -1,10 +1,10 @@
 """Licence scan by a positional rare-token index, in JVM expressions only.
 
-Base: places where the words of a phrase stand one after another. Method: templates are indexed by word with positions. Of a file's
-words that are in the index, the ones of highest IDF (rarest among the templates; RARE_WORDS of them) are looked up; each
-occurrence votes for (template, file position - template position). Alignments with votes of at least two different rare words are
-verified: the template's mandatory key phrase must stand there word for word, and the share of the template's IDF mass that
-stands in place must be LEAST_COVERAGE or more.
+Base: places where the words of a phrase stand one after another. Method: the KEY_WORDS words of highest IDF (rarest among the
+templates) of each template's mandatory key phrase are indexed with their positions. All of them that a file has are looked up,
+wherever they stand; each occurrence votes for (template, file position - template position). Alignments with votes of two different
+rare words are verified: the key phrase must stand there word for word, and the share of the template's IDF mass that stands in place
+must be LEAST_COVERAGE or more. No alignment is lost: where a key phrase stands, all its rare words do, whatever else is in the file.
 
 Everything happens inside a row: no key, group or file size gathers rows. Only texts with a marker (a substring that every template and
 phrase contains one of) have their words compared; the others have no licence by construction.
@@ -26,7 +26,7 @@ from .common import let, lower_ascii, text_of
 #: All ASCII but digits and lower-case letters parts words; here with A-Z allowed, for texts that aren't lower-cased yet.
 PARTS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 PHRASES = (("gnu general public license", "gpl"), ("apache license", "apache"), ("cc by", "cc-by"), ("mit license", "mit"))
-RARE_WORDS = 16
+KEY_WORDS = 2
 LEAST_COVERAGE = 0.6
 
 #: Label, mandatory key phrase, and notice. The usual short notices of these licences, lower-cased and without punctuation.
@@ -71,16 +71,19 @@ def _index() -> tuple[dict[str, float], list[list[str]], list[tuple[int, int]]]:
 def _labels_of(w: Column) -> Column:
     """Array of struct(label, coverage) of the verified alignments of the words w."""
     idf, templates, keys = _index()
-    # index words by falling IDF; a file's rare words are the first RARE_WORDS of them that it has
-    order = sorted(idf, key=lambda x: (-idf[x], x))
-    postings = {x: [(t, p) for t, ws in enumerate(templates) for p, y in enumerate(ws) if y == x] for x in order}
+    # the rarest words of each key phrase, each at its first place there: a template has one posting a word, so votes are distinct
+    postings: dict[str, list[tuple[int, int]]] = {}
+    for t, (ws, (first, n)) in enumerate(zip(templates, keys, strict=True)):
+        for x in sorted(set(ws[first : first + n]), key=lambda x: (-idf[x], x))[:KEY_WORDS]:
+            postings.setdefault(x, []).append((t, ws.index(x, first)))
+    order = sorted(postings, key=lambda x: (-idf[x], x))
     table = F.array(*[F.struct(F.lit(x).alias("word"), F.array(*[F.struct(F.lit(t).alias("t"), F.lit(p).alias("p")) for t, p in postings[x]]).alias("at")) for x in order])
     texts = F.array(*[F.array(*[F.struct(F.lit(y).alias("word"), F.lit(idf[y]).alias("idf")) for y in t]) for t in templates])
     totals = F.array(*[F.lit(sum(idf[y] for y in t)) for t in templates])
     firsts, lengths = F.array(*[F.lit(k) for k, _ in keys]), F.array(*[F.lit(n) for _, n in keys])
     names = F.array(*[F.lit(label) for label, _, _ in TEMPLATES])
 
-    own = F.array_intersect(F.array(*map(F.lit, order)), w)  # in IDF order, distinct
+    own = F.array_intersect(F.array(*map(F.lit, order)), w)
     places = F.filter(F.transform(w, lambda x, i: F.struct(x.alias("word"), i.alias("i"))), lambda h: h["word"].isin(order))
 
     def aligned(rare):
@@ -94,8 +97,7 @@ def _labels_of(w: Column) -> Column:
     def supported(votes):
         # two different words at one alignment: a neighbour in sorted order has the same template and offset but another word
         same = lambda s, v, k: F.coalesce((F.get(s, k)["t"] == v["t"]) & (F.get(s, k)["d"] == v["d"]), F.lit(False))
-        ordered = F.array_sort(F.array_distinct(votes))
-        return let(ordered, lambda s: F.transform(F.filter(s, lambda v, k: same(s, v, k + 1) & ~(F.when(k > 0, same(s, v, k - 1)).otherwise(False))), lambda v: F.struct(v["t"].alias("t"), v["d"].alias("d"))))
+        return let(F.array_sort(votes), lambda s: F.transform(F.filter(s, lambda v, k: same(s, v, k + 1) & ~(F.when(k > 0, same(s, v, k - 1)).otherwise(False))), lambda v: F.struct(v["t"].alias("t"), v["d"].alias("d"))))
 
     def verified(alignments):
         def checked(a):
@@ -108,7 +110,7 @@ def _labels_of(w: Column) -> Column:
 
         return F.filter(F.transform(alignments, checked), lambda c: c["coverage"] >= LEAST_COVERAGE)
 
-    return let(F.slice(own, 1, RARE_WORDS), lambda rare: let(aligned(rare), lambda votes: let(supported(votes), verified)))
+    return let(own, lambda rare: let(aligned(rare), lambda votes: let(supported(votes), verified)))
 
 
 def _scan(w: Column) -> Column:

@@ -275,6 +275,29 @@ def test_licence_templates_are_found(spark):
     assert got[-1].labels == got[-2].labels == ""
 
 
+def test_licences_are_found_in_long_prose(spark):
+    """Ordinary English holds many words of the templates; a notice in it, or all of them in one file, must be found as in a plain scan."""
+    prose = """As was said above, people who are free and available can write code for any file except the following form, which may be made by hand or not,
+    to charge a fee for use, or to copy and modify what is provided. A person obtaining the documentation is granted permission to publish it under the terms that
+    the foundation met with; this notice and its conditions appear in all copies of the work, the source, the version and the binary, by the general public or with
+    a creative domain, an international subject, and without compliance you must use the software for this purpose. """
+    notices = [t for _, _, t in licenses.TEMPLATES] + ["Licensed under CC BY-NC 4.0.", "Licensed under CC BY-SA 4.0.", "a cc by sa, an apache license"]
+    texts = [prose * 3 + n + ". " + prose for n in notices] + [prose.join(notices), ". ".join(notices), prose + "license " + prose]
+    idf, templates, keys = licenses._index()
+    token = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    for text, r in zip(texts, licenses.scan_licenses(spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)).collect(), strict=True):
+        w, labels, best = token.findall(lowered(text)), set(), 0.0
+        labels |= {label for p, label in licenses.PHRASES if any(w[k : k + len(p.split())] == p.split() for k in range(len(w)))}
+        best = 0.5 if labels else 0.0
+        for (label, _, _), t, (first, n) in zip(licenses.TEMPLATES, templates, keys, strict=True):
+            for d in range(-len(t), len(w)):
+                if d + first >= 0 and w[d + first : d + first + n] == t[first : first + n]:
+                    coverage = sum(idf[x] for p, x in enumerate(t) if 0 <= d + p < len(w) and w[d + p] == x) / sum(idf[x] for x in t)
+                    if coverage >= licenses.LEAST_COVERAGE:
+                        labels, best = labels | {label}, max(best, coverage)
+        assert r.labels == ",".join(sorted(labels)) and abs(r.score - min(1.0, best)) < 1e-9
+
+
 def training(spark, n=600):
     rng = np.random.default_rng(2)
     words = [f"w{k}" for k in range(300)]
