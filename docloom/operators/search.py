@@ -51,9 +51,9 @@ def phrases(query: str) -> list[list[str]]:
     return [p for p in found if p]
 
 
-def keyword_search(postings: DataFrame, sizes: DataFrame, n_documents: int, key: str, query: str, limit: int = 20) -> DataFrame:
+def keyword_search(postings: DataFrame, sizes: DataFrame, n_documents: int, key: str, query: str, limit: int | None = 20) -> DataFrame:
     """key and score (lower is better) of the documents that have every phrase of the query, best first, ties by key. Only the postings of the
-    query's tokens are read. An empty query finds nothing."""
+    query's tokens are read. An empty query finds nothing. Without a limit: all of them, in no order."""
     wanted = phrases(query)
     if not wanted:
         return postings.select(key, F.lit(0.0).alias("score")).limit(0)
@@ -71,7 +71,8 @@ def keyword_search(postings: DataFrame, sizes: DataFrame, n_documents: int, key:
     scored = hits.join(found.withColumn("idf", F.when(idf > 0, idf).otherwise(LEAST_IDF)), "phrase").join(sizes, key)
     part = F.col("idf") * F.col("f") * (K1 + 1) / (F.col("f") + K1 * (1 - B + B * F.col("length") / mean))
     every = scored.groupBy(key).agg(F.count("*").alias("n"), (-F.sum(part)).alias("score")).filter(F.col("n") == len(wanted))
-    return every.select(key, "score").orderBy("score", key).limit(limit)
+    every = every.select(key, "score")
+    return every if limit is None else every.orderBy("score", key).limit(limit)
 
 
 def snippet(body: str, query: str, size: int = 12) -> str:

@@ -404,7 +404,7 @@ QUERY = "mit license"
 
 def keyword_and(spark, d):
     postings, sizes, n = _index(spark, d)
-    return search.keyword_search(postings, sizes, n, "doc_id", QUERY, limit=1_000_000).select("doc_id")
+    return search.keyword_search(postings, sizes, n, "doc_id", QUERY, limit=None).select("doc_id")
 
 
 def bm25_top(spark, d):
