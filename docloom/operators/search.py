@@ -5,14 +5,18 @@ from __future__ import annotations
 import math
 import unicodedata
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.udf import vectorised
 
 K1, B, LEAST_IDF = 1.2, 0.75, 1e-6
+BLOCK_VECTORS = 4096
 _TOKEN = regex.compile(r"[\p{L}\p{N}\p{Co}]+")
 
 
@@ -106,6 +110,48 @@ def vector_search(vectors: DataFrame, key: str, vector: str, query: list[float],
     return vectors.select(key, product.alias("score")).orderBy(F.desc("score"), key).limit(limit)
 
 
+def vector_search_each(vectors: DataFrame, queries: DataFrame, key: str, vector: str, limit: int = 10) -> DataFrame:
+    """query, key and score: for each row of queries (its key is the query) what vector_search gives. Blocks of queries are compared with blocks
+    of vectors; the best of every pair of blocks meet by query. Rows without a vector are left out; all vectors must have one length."""
+
+    def matrix(column: pa.ChunkedArray) -> np.ndarray:
+        if len(pc.unique(pc.list_value_length(column))) > 1:
+            raise ValueError("vectors of different lengths")
+        return pc.list_flatten(column).to_numpy().astype(np.float64).reshape(len(column), -1)
+
+    def best(left: pa.Table, right: pa.Table) -> pa.Table:
+        right = right.take(pc.sort_indices(right.column("key")))
+        parts = []
+        if len(left) and len(right):
+            q, v = matrix(left.column("vector")), np.ascontiguousarray(matrix(right.column("vector")).T)
+            if q.shape[1] != len(v):
+                raise ValueError("vectors of different lengths")
+            for at in range(0, len(q), 32):
+                scores = np.zeros((len(q[at : at + 32]), len(right)))
+                for k in range(len(v)):  # summed in order, so that equal vectors have equal scores
+                    scores += q[at : at + 32, k, None] * v[k]
+                for i, own in enumerate(scores):
+                    places = np.flatnonzero(own >= np.partition(own, -limit)[-limit]) if len(own) > limit else np.arange(len(own))
+                    places = places[np.argsort(-own[places], kind="stable")][:limit]  # ties by key
+                    parts.append((np.full(len(places), at + i), places, own[places]))
+        rows, places, scores = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.zeros(0, int), np.zeros(0, int), np.zeros(0))
+        return pa.table({"query": left.column("key").take(rows), key: right.column("key").take(places), "score": scores})
+
+    def block(rows: DataFrame) -> tuple[DataFrame, int]:
+        rows = rows.filter(F.col(vector).isNotNull()).select(F.col(key).alias("key"), F.col(vector).alias("vector"))
+        n = max(1, math.ceil(rows.count() / BLOCK_VECTORS))
+        return rows.withColumn("block", F.pmod(F.xxhash64("key"), F.lit(n)).cast("int")), n
+
+    def dealt(rows: DataFrame, own: str, other: str, n: int) -> DataFrame:
+        return rows.select(F.col("block").alias(own), F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias(other), "key", "vector").groupBy("i", "j")
+
+    (q, n_q), (v, n_v) = block(queries), block(vectors)
+    kind = vectors.schema[key].dataType.simpleString()
+    found = dealt(q, "i", "j", n_v).cogroup(dealt(v, "j", "i", n_q)).applyInArrow(best, f"query {queries.schema[key].dataType.simpleString()}, {key} {kind}, score double")
+    place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), key))
+    return found.withColumn("__place", place).filter(F.col("__place") <= limit).drop("__place")
+
+
 def unit(vector: list[float]) -> list[float]:
     norm = math.sqrt(sum(x * x for x in vector)) or 1.0
     return [x / norm for x in vector]

@@ -420,8 +420,16 @@ def search_snippets(spark, d):
 
 def vector_topk(spark, d):
     (vectors,) = load(spark, d, "embeddings")
-    query = vectors.filter("vec_id = 7").first()["embedding"]
-    return search.vector_search(vectors, "vec_id", "embedding", query).select("vec_id", F.round("score", 5).alias("score"))
+    query = vectors.filter("vec_id = 7").first()
+    own = search.vector_search(vectors, "vec_id", "embedding", query["embedding"] if query else [], 10 if query else 0)
+    return own.select("vec_id", F.round("score", 5).alias("score"))
+
+
+def vector_topk_each(spark, d):
+    """The whole set of searches: every row whose id is divisible by 20 against all rows."""
+    (vectors,) = load(spark, d, "embeddings")
+    own = search.vector_search_each(vectors, vectors.filter("vec_id % 20 = 0"), "vec_id", "embedding")
+    return own.select(F.col("query").alias("query_id"), "vec_id", F.round("score", 5).alias("score"))
 
 
 # usage and exports
@@ -467,7 +475,7 @@ QUERIES = (
     content_ids, content_duplicates, token_estimate, text_quality_counts, line_signatures, repeated_edges, clean_text_lengths, telegraphic_notes, keyword_counts, class_scores, class_types, skip_reasons, class_summary, legal_terms, term_keys, protected_terms,
     body_size, style_levels, normalised_levels, parent_heading, topic_paths, block_assignment, detected_headings, section_pieces, page_ranges, ngram_containment, longest_shared_run, interval_merge, best_sentence, built_records, validated_records, merged_records,
     entity_registry, record_relations, relation_dedupe, relations_of, evidence_integrity, pages_outside_section, identifier_support, verdicts, statements_check, topic_tree_counts, upsert_latest, stage_summary, recover_interrupted, todo_units, review_pending, merged_library,
-    keyword_and, bm25_top, search_snippets, vector_topk, usage_cost, cost_estimate, run_totals, export_sources, knowledge_export,
+    keyword_and, bm25_top, search_snippets, vector_topk, vector_topk_each, usage_cost, cost_estimate, run_totals, export_sources, knowledge_export,
 )
 
 
