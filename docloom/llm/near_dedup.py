@@ -247,7 +247,9 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
 
 
 def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, bands: int = BANDS, m: int = COMPONENTS) -> DataFrame:
-    """One row per input row: key, class_id, class_size, n_links (verified links of its text to others), kept, and two hashes of the text."""
+    """One row per input row: key, class_id, class_size, n_links, kept, and two hashes of the text. n_links counts the verified links
+    that its text was joined by: to a bucket's leader, or between components. Alike pairs inside a component aren't compared, so it is not the
+    number of all texts alike."""
     texts = docs.select(F.col(key).alias("id"), text_of(text).alias("text"))
     who = F.struct("id", F.monotonically_increasing_id().alias("row"), *_hashes(F.col("text")))
     read, read_path = saved(_read(texts.select(who.alias("who"), "text"), bands, m))
