@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 SPACES = " \t\n\x0b\x0c\r"
 SEPARATOR = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
+#: Rows of ids and hashes, about 100 bytes each, that are sent to all tasks at most; every broadcast is preceded by a count.
+BROADCAST_ROWS = 200_000
+#: Rows of one key that one task takes at least before the key counts as hot, and the hot keys that a table can have at most.
+HOT_ROWS, HOT_KEYS = 1000, 20_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,3 +84,13 @@ def discard(spark: SparkSession, path: str) -> None:
     sc = spark.sparkContext
     where = sc._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(sc._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def spread(rows: DataFrame, table: DataFrame, on: list[str], n_rows: int, size: str = "size") -> DataFrame:
+    """rows with the columns of their key's row in `table`, which has one row for each key and the key's number of rows in `size`; inner. Keys
+    with more than a HOT_KEYS-th of the rows, of which there can't be more than HOT_KEYS, are sent to all tasks: their rows stay where they are.
+    Both tables are read twice and should have been written."""
+    most = max(HOT_ROWS, n_rows // HOT_KEYS)
+    hot = table.filter(F.col(size) > most)
+    cold = rows.join(F.broadcast(hot.select(*on)), on, "left_anti").join(table.filter(F.col(size) <= most), on)
+    return rows.join(F.broadcast(hot), on).unionByName(cold)
