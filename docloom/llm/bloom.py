@@ -10,6 +10,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import BROADCAST_ROWS, cut
+
 SLICE_BITS = 15
 BITS_PER_VALUE = 16
 #: The largest filter that is broadcast; for more values than it has bits for, it lets more through.
@@ -42,6 +44,19 @@ def is_set(bitmap: Column, bit: Column) -> Column:
     return F.getbit(byte.cast("long"), bit.bitwiseAND(F.lit(7))) == 1
 
 
+def without(rows: DataFrame, gone: DataFrame, name: str) -> DataFrame:
+    """rows whose column `name` isn't in `gone` (a written table of that column alone). Few names are sent to all tasks; of many a filter is, at most
+    MOST_BYTES large: rows that it rules out stay where they are, the others are dealt out by name."""
+    n = gone.count()
+    if n <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(gone), name, "left_anti") if n else rows
+    slices = slices_for(n, MOST_BYTES)
+    held = cut(table(gone.withColumn("h", F.xxhash64(name)), "h", slices))
+    marked = probed(rows.withColumn("__bloom_h", F.xxhash64(name)), "__bloom_h", F.broadcast(held), slices, "__bloom").drop("__bloom_h")
+    likely = marked.filter("__bloom").drop("__bloom").join(gone, name, "left_anti")
+    return marked.filter("not __bloom").drop("__bloom").unionByName(likely)
+
+
 def probed(rows: DataFrame, h: str, filter_table: DataFrame, slices: int, name: str = "maybe") -> DataFrame:
     """rows with a boolean column: false only where h isn't among the filter's values."""
     held = rows.withColumns(bits(F.col(h), slices)).join(filter_table, "slice", "left")

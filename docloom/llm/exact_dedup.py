@@ -7,10 +7,15 @@ row and nothing else, so the result is exact for any filter size. The filter is
 while it is below spark.sql.autoBroadcastJoinThreshold and else deals both sides out by slice.
 
 Texts are read once, to hash them; what is written to the checkpoint folder, filtered and joined are ids and hashes. The rows of
-a group are counted before they are dealt out, so a group of any size is summed up by all tasks.
+a group are counted before they are dealt out, so a group of any size is summed up by all tasks. exact_dedup() reads the texts a second
+time and deals none of them out, but for rows equal in id and text and, beyond the broadcast's bound, for rows that are likely to go.
+
+Pass one deals out a slice number and a bit, not bitmaps: a task's rows fall in all slices of a filter for the whole table, so that bitmaps made
+before the exchange would be as many bytes as the filter for every task, and more than the bits from four tasks on.
 
 Defined results: a null text counts as empty, and all empty texts are one group; a null id is smaller than any other; of rows
-equal in id and text exactly one stays; a table without rows gives none.
+equal in id and text exactly one stays; a table without rows gives none; texts of any length are hashed whole; columns may have any name,
+those of exact_dedup() stay as they are.
 """
 
 from __future__ import annotations
@@ -48,15 +53,15 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
 
 
 def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The input's rows that stay, all columns as they were. Only ids and hashes of dropped rows are joined to the texts."""
-    groups = exact_groups(docs, key, text).filter("group_size > 1").select(F.col(key).alias("__id"), "keep_id", "kept", F.col("text_sha256").alias("__sha"))
-    groups = cut(groups)
-    marked = docs.withColumn("__sha", text_sha256(text))
-    losers = groups.filter(~F.col("__id").eqNullSafe(F.col("keep_id"))).select("__id", "__sha").distinct()
-    same = F.col(key).eqNullSafe(F.col("__id")) & (marked["__sha"] == F.col("other"))
-    out = marked.join(losers.withColumnRenamed("__sha", "other"), same, "left_anti")
-    twins = groups.filter("__id <=> keep_id and not kept").select("__id", F.col("__sha").alias("other")).distinct()
+    """The input's rows that stay, all columns as they were. Texts aren't dealt out: rows that stay pass straight through, and only the ids and hashes
+    of the others are sent to them; see bloom.without."""
+    name = lambda i, sha: F.concat_ws(":", F.when(i.isNull(), "").otherwise(F.concat(F.lit("k"), i.cast("string"))), sha)
+    groups = exact_groups(docs, key, text).filter("group_size > 1")
+    groups = cut(groups.select(F.col(key).eqNullSafe(F.col("keep_id")).alias("same"), "kept", name(F.col(key), F.col("text_sha256")).alias("name")))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), name(F.col(key), text_sha256(text)).alias("name"))
+    out = bloom.without(rows, cut(groups.filter("not same").select("name").distinct()), "name")
+    twins = cut(groups.filter("same and not kept").select("name").distinct())
     if not twins.isEmpty():  # rows equal in id and text
-        once = out.join(twins, same, "left_semi").dropDuplicates([key, "__sha"])
-        out = out.join(twins, same, "left_anti").unionByName(once)
-    return out.drop("__sha")
+        once = out.join(twins, "name", "left_semi").groupBy("name").agg(F.first("row").alias("row")).select("row", "name")
+        out = bloom.without(out, twins, "name").select("row", "name").unionByName(once)
+    return out.select("row.*")

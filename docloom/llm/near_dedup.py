@@ -11,14 +11,16 @@
    linked nodes become components. Members of a bucket that are then in different components are dealt out in blocks of bounded size,
    and a task compares two blocks: only pairs of different components that share one of their rarest shingles (the prefix filter,
    which loses no pair) and that no earlier link joins. No pair inside a component is made, no pair is written unless it is a
-   link, and no cap is set.
+   link, and no cap is set. A block's shingle sets are sent to each task that compares it, so that what is shuffled here grows with the
+   square of a cluster of unlinked texts, divided by BLOCK_NODES.
 5. Components are found by contracting links within partitions, then by alternating large-star and small-star steps in Spark.
 
 What is written to the checkpoint folder: hashes and band values of each text, and the shingle hashes of texts with a candidate pair.
 
 Defined results: texts of one to four words have one shingle, all their words; null and wordless texts have none and are each alone in
 their class; a class is named by its least id (null ids are passed over); repeated rows are copies of one another; extra columns
-are kept by near_dedup(); an empty table gives no classes.
+are kept by near_dedup(), whatever their names; very long texts are read whole, a few megabytes of text at a time; an empty table gives no classes.
+Copies, buckets, classes and clusters with more than a share of all rows meet what belongs to their key by broadcast (common.spread).
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import bloom
-from .common import cut, discard, saved, text_of
+from .common import cut, discard, saved, spread, text_of
 from .suffix_dedup import mix
 from .toxicity import slices
 
@@ -253,12 +255,14 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", thres
     texts = docs.select(F.col(key).alias("id"), text_of(text).alias("text"))
     who = F.struct("id", F.monotonically_increasing_id().alias("row"), *_hashes(F.col("text")))
     read, read_path = saved(_read(texts.select(who.alias("who"), "text"), bands, m))
-    nodes = read.filter("n > 0").groupBy("g1", "g2").agg(F.min("row").alias("node"))
-    own = cut(read.join(nodes, ["g1", "g2"], "left").select("id", "row", "t1", "t2", F.coalesce("node", "row").alias("node")))
+    worded, n_rows = read.filter("n > 0"), read.count()
+    nodes = cut(worded.groupBy("g1", "g2").agg(F.min("row").alias("node"), F.count("*").alias("size")))
+    named = spread(worded.select("id", "row", "t1", "t2", "g1", "g2"), nodes, ["g1", "g2"], n_rows).select("id", "row", "t1", "t2", "node")
+    own = cut(named.unionByName(read.filter("n = 0").select("id", "row", "t1", "t2", F.col("row").alias("node"))))
     heads = read.join(nodes.select("node"), F.col("row") == F.col("node"), "left_semi")
     members = heads.select(F.col("row").alias("node"), F.explode("bands").alias("bucket"))
-    shared = members.groupBy("bucket").agg(F.min("node").alias("leader"), F.count("*").alias("size")).filter("size > 1")
-    held = cut(members.join(shared.select("bucket"), "bucket"))
+    shared = cut(members.groupBy("bucket").agg(F.min("node").alias("leader"), F.count("*").alias("size")).filter("size > 1"))
+    held = cut(spread(members, shared, ["bucket"], bands * n_rows).select("bucket", "node", "leader"))
     links = sets_path = None
     if not held.isEmpty():
         wanted = heads.join(held.select("node").distinct(), F.col("row") == F.col("node"), "left_semi").select(F.col("row").alias("node"), "g1", "g2", "n")
@@ -270,13 +274,16 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", thres
     else:
         found = components(links).withColumnRenamed("component", "c")
         degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
-        labelled = found.join(degree, "node", "left")
-        out = own.join(labelled, "node", "left").withColumn("component", F.coalesce("c", "node")).withColumn("n_links", F.coalesce("n_links", F.lit(0).cast("long")))
+        # by the links' nodes, and the rows of each: a node with many rows is sent to all tasks
+        labelled = cut(found.join(degree, "node", "left").join(own.groupBy("node").agg(F.count("*").alias("size")), "node"))
+        linked = spread(own, labelled, ["node"], n_rows).select("id", "row", "t1", "t2", F.col("c").alias("component"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
+        alone = own.join(labelled.select("node"), "node", "left_anti").select("id", "row", "t1", "t2", F.col("node").alias("component"), F.lit(0).cast("long").alias("n_links"))
+        out = linked.unionByName(alone)
     out = cut(out.select("id", "row", "t1", "t2", "component", "n_links"))
     classes = cut(out.groupBy("component").agg(F.min("id").alias("class_id"), F.min(F.struct(F.col("id").isNull().alias("z"), "id", "row"))["row"].alias("stays"), F.count("*").alias("class_size")))
     for path in filter(None, (read_path, sets_path)):
         discard(docs.sparkSession, path)
-    out = out.join(classes, "component")
+    out = spread(out, classes, ["component"], n_rows, "class_size")
     return out.select(F.col("id").alias(key), "class_id", "class_size", "n_links", (F.col("row") == F.col("stays")).alias("kept"), "t1", "t2")
 
 
@@ -285,25 +292,24 @@ def _hashes(text: Column) -> tuple[Column, Column]:
 
 
 def _links(held: DataFrame, sizes: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """Verified links among bucket members (bucket, node): enough of them that every pair alike is joined by a chain of links."""
-    leaders = cut(held.groupBy("bucket").agg(F.min("node").alias("leader")))
-    pairs = held.join(leaders, "bucket").filter("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
+    """Verified links among bucket members (bucket, node, leader): enough of them that every pair alike is joined by a chain of links."""
+    pairs = held.filter("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
     na, nb = sizes.select(F.col("node").alias("a"), F.col("n").alias("na")), sizes.select(F.col("node").alias("b"), F.col("n").alias("nb"))
     fit = pairs.join(na, "a").join(nb, "b").filter(F.least("na", "nb") >= threshold * F.greatest("na", "nb")).select("a", "b")
     links = cut(_verified(fit, sets, threshold))
 
     # what is left: pairs of different components in one bucket, neither of them the leader
     label = components(links)
-    labelled = held.join(label, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("c")).join(leaders, "bucket")
-    others = labelled.filter("node <> leader").groupBy("bucket").agg(F.min("c").alias("c1"), F.max("c").alias("c2")).filter("c1 <> c2").select("bucket")
-    left = cut(labelled.filter("node <> leader").join(others, "bucket").select("bucket", "node", "c"))
+    labelled = cut(held.filter("node <> leader").join(label, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("c")))
+    others = labelled.groupBy("bucket").agg(F.min("c").alias("c1"), F.max("c").alias("c2"), F.min("node").alias("b"), F.count("*").alias("size")).filter("c1 <> c2")
+    left = cut(spread(labelled, cut(others.select("bucket", "b", "size")), ["bucket"], labelled.count()).select("node", "c", "b"))
     if left.isEmpty():
         return links
-    chain = left.groupBy("bucket").agg(F.min("node").alias("b"))
-    cluster = components(left.join(chain, "bucket").select(F.col("node").alias("a"), "b"))  # nodes that share buckets, step by step
+    cluster = components(left.select(F.col("node").alias("a"), "b"))  # nodes that share buckets, step by step
     nodes = left.select("node", "c").distinct().join(cluster.withColumnRenamed("component", "cluster"), "node").join(sizes, "node")
-    blocks = nodes.groupBy("cluster").agg(F.ceil(F.greatest(F.count("*") / BLOCK_NODES, F.sum("n") * 8 / BLOCK_BYTES)).cast("int").alias("blocks"))
-    placed = nodes.join(blocks, "cluster").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    nodes = cut(nodes)
+    blocks = cut(nodes.groupBy("cluster").agg(F.count("*").alias("size"), F.ceil(F.greatest(F.count("*") / BLOCK_NODES, F.sum("n") * 8 / BLOCK_BYTES)).cast("int").alias("blocks")))
+    placed = spread(nodes, blocks, ["cluster"], nodes.count()).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     tiles = placed.select("cluster", "node", "c", "block", other).select("cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "c", (F.col("block") <= F.col("other")).alias("first"))
     tiles = tiles.withColumn("tile", F.xxhash64("cluster", "i", "j")).join(sets, "node").select("tile", "cluster", "i", "j", "node", "c", "first", "shingles")
@@ -386,15 +392,13 @@ def links_of_tile(sets: list[np.ndarray], component: np.ndarray, side: np.ndarra
 
 def near_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The input's rows without those whose class has a row that stays (the one of least id): rows of classes of one pass as they are."""
-    name = [F.coalesce(F.col(key).cast("string"), F.lit("")).alias("__id"), "t1", "t2"]
-    verdict = near_classes(docs, key, text, threshold).filter("class_size > 1").groupBy(*name).agg(F.max("kept").alias("kept"), F.count("*").alias("rows"))
+    name = lambda i: F.concat_ws(":", F.when(i.isNull(), "").otherwise(F.concat(F.lit("k"), i.cast("string"))), "t1", "t2").alias("name")
+    verdict = near_classes(docs, key, text, threshold).filter("class_size > 1").groupBy(name(F.col(key))).agg(F.max("kept").alias("kept"), F.count("*").alias("rows"))
     verdict = cut(verdict.filter("not kept or rows > 1"))
-    t1, t2 = _hashes(text_of(text))
-    own = docs.withColumns({"__id": F.coalesce(F.col(key).cast("string"), F.lit("")), "t1": t1, "t2": t2}).withColumnsRenamed({"t1": "__t1", "t2": "__t2"})
-    same = ["__id", "__t1", "__t2"]
-    verdict = verdict.withColumnsRenamed({"t1": "__t1", "t2": "__t2"})
-    out = own.join(verdict.filter("not kept").select(*same), same, "left_anti")
-    twins = verdict.filter("kept").select(*same)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(key).alias("id"), *_hashes(text_of(text))).select("row", name(F.col("id")))
+    out = bloom.without(rows, cut(verdict.filter("not kept").select("name")), "name")
+    twins = cut(verdict.filter("kept").select("name"))
     if not twins.isEmpty():  # rows equal in id and text
-        out = out.join(twins, same, "left_anti").unionByName(out.join(twins, same, "left_semi").dropDuplicates(same))
-    return out.select(*docs.columns)
+        once = out.join(twins, "name", "left_semi").groupBy("name").agg(F.first("row").alias("row")).select("row", "name")
+        out = bloom.without(out, twins, "name").select("row", "name").unionByName(once)
+    return out.select("row.*")
