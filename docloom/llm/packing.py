@@ -3,16 +3,16 @@
 Documents become ids (a public tokenizer's, then an end id) and are cut at every `capacity` ids; full pieces are sequences of
 their own. The remainders of CHUNK_DOCS consecutive documents of a task are dealt into windows together: multiway differencing
 keeps one partial partition per remainder and, again and again, merges the two whose windows differ most, largest window of one
-with smallest of the other, until one partition into near-equal windows is left. With cutting (the query's setting) there are
-exactly as many windows as the chunk's ids fill: what the total has beyond a multiple of the capacity is first cut off as
-sequences whose lengths are powers of two, which need no padding, and the few ids by which windows differ are moved by cutting one
-more piece each. Without cutting the window count rises until no window exceeds the capacity.
+with smallest of the other, until one partition into near-equal windows is left. Where a window exceeds the capacity, the window count rises
+and the remainders are dealt again. Of the windows found, the fullest are kept, as many as the ids fill; the others are cut to fill their gaps, so
+that nothing is padded. What is left, fewer ids than one window holds, joins the next chunk's remainders; at a task's end it becomes sequences whose
+lengths are different powers of two, which need no padding: at most twelve short ones a task.
 
 There is no shuffle: a chunk's memory is bounded by CHUNK_DOCS documents or CHUNK_CHARS characters (a longer text is a chunk of its
 own), no key gathers rows, and a lost task is run again alone. Sequence ids are the task's number and a count.
 
 Defined results: a null text is an empty one, whose only id is the end id; null ids and repeated rows are documents of their own;
-an empty table gives no piece; other columns are ignored.
+an empty table gives no piece; a very long text is cut like any other; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -148,60 +148,70 @@ def differencing(sizes: np.ndarray, windows: int) -> np.ndarray:
 
 
 def windows_without_cutting(sizes: np.ndarray, capacity: int = CAPACITY) -> np.ndarray:
-    """Differencing into the fewest windows it can fill without exceeding the capacity; no size may exceed it."""
-    count = max(1, -(-int(sizes.sum()) // capacity))
+    """Differencing into windows of which none exceeds the capacity: their number rises, by ever larger steps, as long as one does. No size may
+    exceed the capacity."""
+    count, step = max(1, -(-int(sizes.sum()) // capacity), int((2 * sizes > capacity).sum())), 1
     while True:
         window = differencing(sizes, count)
         if not len(sizes) or np.bincount(window, sizes, minlength=count).max() <= capacity:
             return window
-        count += 1
+        count, step = count + step, 2 * step
 
 
-def pack_with_cutting(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[list[tuple[int, int, int, int, int]], int]:
-    """Pieces (document, start, length, sequence, offset) that cover every document, and the number of sequences."""
+def pack_windows(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[list[tuple[int, int, int, int, int]], int, list[tuple[int, int, int]]]:
+    """Pieces (document, start, length, sequence, offset) of full sequences, their number, and the pieces (document, start, length) that are left: fewer
+    than `capacity` ids in all."""
     pieces, sequences = [], 0
-    rest: list[list[int]] = []  # document, start, length
+    rest: list[tuple[int, int, int]] = []
     for d, n in enumerate(lengths.tolist()):
         for start in range(0, n - capacity + 1, capacity):
             pieces.append((d, start, capacity, sequences, 0))
             sequences += 1
         if n % capacity:
-            rest.append([d, n - n % capacity, n % capacity])
-    extra = sum(r[2] for r in rest) % capacity
-    rest.sort(key=lambda r: -r[2])
-    k = 0
-    for bit in reversed(range(capacity.bit_length())):
-        need, offset = extra & (1 << bit), 0
-        while need:  # from the ends of the longest remainders
+            rest.append((d, n - n % capacity, n % capacity))
+    sizes = np.array([r[2] for r in rest], dtype=np.int64)
+    full = int(sizes.sum()) // capacity
+    if not full:
+        return pieces, sequences, rest
+    window = windows_without_cutting(sizes, capacity)
+    fill = np.bincount(window, sizes).astype(np.int64)
+    # the fullest windows stay, as many as can be filled; the others are cut to fill them
+    place = {w: i for i, w in enumerate(np.argsort(-fill, kind="stable")[:full].tolist())}
+    held, loose = [0] * full, []
+    for r, w in zip(rest, window.tolist(), strict=True):
+        if w in place:
+            k = place[w]
+            pieces.append((*r, sequences + k, held[k]))
+            held[k] += r[2]
+        else:
+            loose.append(r)
+    left, k = [], 0
+    for d, start, n in sorted(loose, key=lambda r: -r[2]):
+        while n and k < full:
+            take = min(n, capacity - held[k])
+            if take:
+                pieces.append((d, start, take, sequences + k, held[k]))
+                held[k], start, n = held[k] + take, start + take, n - take
+            k += held[k] == capacity
+        if n:
+            left.append((d, start, n))
+    return pieces, sequences + full, left
+
+
+def pack_tail(rest: list[tuple[int, int, int]], sequences: int) -> list[tuple[int, int, int, int, int]]:
+    """What is left at a task's end, as sequences whose lengths are different powers of two."""
+    pieces, k = [], 0
+    rest, total = [list(r) for r in rest], sum(r[2] for r in rest)
+    for bit in reversed(range(total.bit_length())):
+        need, offset = total & (1 << bit), 0
+        while need:
             r = rest[k]
             take = min(need, r[2])
-            pieces.append((r[0], r[1] + r[2] - take, take, sequences, offset))
-            need, offset, r[2] = need - take, offset + take, r[2] - take
+            pieces.append((r[0], r[1], take, sequences, offset))
+            need, offset, r[1], r[2] = need - take, offset + take, r[1] + take, r[2] - take
             k += not r[2]
-        sequences += bool(extra & (1 << bit))
-    rest = [r for r in rest if r[2]]
-    count = sum(r[2] for r in rest) // capacity
-    if count:
-        window = differencing(np.array([r[2] for r in rest], dtype=np.int64), count)
-        fill, over = [0] * count, []
-        for r, w in zip(rest, window.tolist(), strict=True):
-            d, start, n = r
-            fits = min(n, capacity - fill[w])
-            if fits:
-                pieces.append((d, start, fits, sequences + w, fill[w]))
-                fill[w] += fits
-            if n > fits:
-                over.append([d, start + fits, n - fits])
-        w = 0
-        for d, start, n in over:
-            while n:
-                while fill[w] == capacity:
-                    w += 1
-                fits = min(n, capacity - fill[w])
-                pieces.append((d, start, fits, sequences + w, fill[w]))
-                fill[w], start, n = fill[w] + fits, start + fits, n - fits
-        sequences += count
-    return pieces, sequences
+        sequences += bool(total & (1 << bit))
+    return pieces
 
 
 SCHEMA = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -213,21 +223,38 @@ def pack(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text
     schema = T.StructType([T.StructField(key, kind), *T.StructType.fromDDL(SCHEMA)] + [T.StructField("ids", T.ArrayType(T.IntegerType()))] * with_ids)
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, base = worker_cache(tokenizer), TaskContext.get().partitionId() << 40
-        for names, texts in chunks(batches):
-            ids, ends = cache.ids(texts)
-            lengths = np.diff(ends, prepend=0) + 1
-            ids = np.insert(ids, ends, END_ID)
-            first = np.cumsum(lengths) - lengths
-            pieces, sequences = pack_with_cutting(lengths, capacity)
+        cache, sequences = worker_cache(tokenizer), TaskContext.get().partitionId() << 40
+        # what the chunks before have left over: ids of pieces, with their documents' names, starts and lengths
+        held: tuple | None = None
+
+        def emitted(pieces, names, ids, first, begin, total) -> pa.RecordBatch:
             doc, start, length, sequence, offset = np.array(pieces, dtype=np.int64).reshape(-1, 5).T
             raw, at = memoryview(ids.astype("<u4").tobytes()), first[doc] + start
             crc = [zlib.crc32(raw[4 * a : 4 * (a + n)]) for a, n in zip(at.tolist(), length.tolist(), strict=True)]
-            columns = [names.take(pa.array(doc)), start, length, pa.array(crc, pa.int64()), lengths[doc], sequence + base, offset]
+            columns = [names.take(pa.array(doc)), begin[doc] + start, length, pa.array(crc, pa.int64()), total[doc], sequence, offset]
             if with_ids:
                 columns.append(pa.array([ids[a : a + n].astype(np.int32) for a, n in zip(at.tolist(), length.tolist(), strict=True)], pa.list_(pa.int32())))
-            base += sequences
-            yield pa.RecordBatch.from_arrays([pa.array(c) if isinstance(c, np.ndarray) else c for c in columns], names=schema.names)
+            return pa.RecordBatch.from_arrays([pa.array(c) if isinstance(c, np.ndarray) else c for c in columns], names=schema.names)
+
+        for names, texts in chunks(batches):
+            ids, ends = cache.ids(texts)
+            lengths = np.diff(ends, prepend=0) + 1
+            ids, begin, total = np.insert(ids, ends, END_ID), np.zeros(len(lengths), np.int64), lengths
+            if held is not None:
+                names, ids = pa.concat_arrays([held[0], names]), np.concatenate([held[1], ids])
+                lengths, begin, total = (np.concatenate(x) for x in zip(held[2:], (lengths, begin, total), strict=True))
+            first = np.cumsum(lengths) - lengths
+            pieces, n, left = pack_windows(lengths, capacity)
+            if pieces:
+                yield emitted([(*p[:3], p[3] + sequences, p[4]) for p in pieces], names, ids, first, begin, total)
+            sequences += n
+            doc, start, size = np.array(left, dtype=np.int64).reshape(-1, 3).T
+            own = [ids[a : a + k] for a, k in zip((first[doc] + start).tolist(), size.tolist(), strict=True)]
+            held = (names.take(pa.array(doc)), np.concatenate([ids[:0], *own]), size, begin[doc] + start, total[doc])
+        if held is not None and len(held[2]):
+            names, ids, size, begin, total = held
+            tail = pack_tail([(d, 0, n) for d, n in enumerate(size.tolist())], sequences)
+            yield emitted(tail, names, ids, np.cumsum(size) - size, begin, total)
 
     return docs.select(F.col(key), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("__text")).mapInArrow(packed, schema)
 
