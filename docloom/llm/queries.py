@@ -53,10 +53,10 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    archives = warc.pages_to_arc(table(spark, sf_dir, "pages"), "page_id", "url", "html")
-    out = warc.arc_to_warc(archives, scratch(spark, "warc"))
-    number = {c: F.expr(f"try_cast({c} AS bigint)") for c in ("key", "refers_to")}
-    return out.select(number["key"].alias("page_id"), "payload_bytes", "payload_digest", "record_type", number["refers_to"].alias("refers_to"))
+    pages = table(spark, sf_dir, "pages")
+    out = warc.arc_to_warc(warc.pages_to_arc(pages, "page_id", "url", "html"), scratch(spark, "warc"))
+    own = {c: warc.key_of(F.col(c)).try_cast(pages.schema["page_id"].dataType) for c in ("key", "refers_to")}
+    return out.select(own["key"].alias("page_id"), "payload_bytes", "payload_digest", "record_type", own["refers_to"].alias("refers_to"))
 
 
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,8 +12,10 @@ with CRLF CRLF after it, through Spark's commit protocol: archives appear whole
 
 Defined results: a null payload is empty; null keys order last and are written as empty; rows equal in key and payload: one of them is
 the response; URLs are percent-encoded where a header line can't hold them, null URLs become "urn:none"; an archive that breaks
-off inside a record, or a header line without a length, gives a record of type "error" and ends that archive; an empty table
-gives archives without records.
+off inside a record, or a header line without a length in ASCII digits, gives a record of type "error" and ends that archive; a header line without
+a URL, or under a field line that names none, gives one and the next record is read; records of type "error" aren't written; text keys are
+percent-encoded in header lines and compared by their own characters; very long payloads are records like others; an empty table gives archives
+without records; other columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from collections.abc import Iterator
 from urllib.parse import quote
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,6 +38,8 @@ LEAST_REVISIT = 100
 ARCHIVE_BYTES = 4_000_000
 #: Repeated payloads (a digest, a key and an id each, about 150 bytes) that are broadcast at most.
 BROADCAST_ROWS = 100_000
+#: Records, and bytes before compression, of a WARC archive at most, but for one record larger than that.
+FILE_RECORDS, FILE_BYTES = 2000, 1 << 29
 DATE = "20240101000000"
 #: The header-line fields of ARC versions 1 and 2.
 FIELDS = {
@@ -54,7 +58,7 @@ def arc_archive(version: int, name: str, documents: list[tuple[str, str, bytes]]
     at = len(out[0])
     for key, url, payload in documents:
         line = [_field(url) or "urn:none", "0.0.0.0", DATE, "text/html"] + (["200", "-", "-", str(at), name] if version == 2 else [])
-        out.append(" ".join([*line, _field(key) or "-", str(len(payload))]).encode() + b"\n" + payload + b"\n")
+        out.append(" ".join([*line, _key(key), str(len(payload))]).encode() + b"\n" + payload + b"\n")
         at += len(out[-1])
     return b"".join(out)
 
@@ -63,6 +67,21 @@ def _field(value: str | None) -> str:
     return quote(value or "", safe="!#$%&'()*+,/:;=?@[]~-._")
 
 
+def _key(value: str | None) -> str:
+    """A key in a header line: "-" for null and "%" for empty, else percent-encoded; see key_of."""
+    return "-" if value is None else "%" if value == "" else "%2D" if value == "-" else quote(value, safe="!$&'()*,/:;=?@~._")
+
+
+def key_of(written: Column) -> Column:
+    """The key that _key has written."""
+    return F.when(written == "%", "").when(written != "-", F.try_url_decode(written))
+
+
+def _number(value: str) -> int:
+    """A number in ASCII digits that fits 64 bits, else -1."""
+    return int(value) if value.isascii() and value.isdigit() and len(value) < 19 else -1
+
+
 def parse_arc(name: str, content: bytes) -> Iterator[dict]:
     """The documents of one ARC archive."""
     fields, at = FIELDS[1], 0
@@ -72,7 +91,7 @@ def parse_arc(name: str, content: bytes) -> Iterator[dict]:
             continue
         end = content.find(b"\n", at)
         values = content[at : end if end >= 0 else len(content)].decode("utf-8", "replace").rstrip("\r").split(" ")
-        length = int(values[-1]) if values[-1].isdigit() else -1
+        length = _number(values[-1])
         first = end + 1
         if end < 0 or length < 0 or first + length > len(content):
             yield {"error": f"byte {at}: broken record"}
@@ -80,7 +99,7 @@ def parse_arc(name: str, content: bytes) -> Iterator[dict]:
         payload = content[first : first + length]
         if values[0].startswith("filedesc://"):
             lines = payload.split(b"\n")
-            version = int(lines[0].split(b" ")[0]) if lines[0].split(b" ")[0].isdigit() else 1
+            version = _number(lines[0].split(b" ")[0].decode("utf-8", "replace"))
             fields = lines[1].decode("utf-8", "replace").split() if len(lines) > 1 and lines[1].strip() else FIELDS.get(version, FIELDS[1])
         else:
             # a URL of the first ARC tools may hold blanks: the other fields count from the right
@@ -88,6 +107,10 @@ def parse_arc(name: str, content: bytes) -> Iterator[dict]:
             values = [" ".join(values[: extra + 1]), *values[extra + 1 :]]
             named = dict(zip(fields, values, strict=False))
             digest = hashlib.sha256(payload).hexdigest()
+            if not named.get("URL"):
+                yield {"error": f"byte {at}: header line without a URL"}
+                at = first + length
+                continue
             yield {
                 "key": named.get("Document-key", "-"), "url": named["URL"], "date": _date(named.get("Archive-date", "")), "type": named.get("Content-type", "application/octet-stream"),
                 "record_id": str(uuid.uuid5(uuid.NAMESPACE_URL, f"{name} {at} {digest}")), "payload": payload, "payload_bytes": length, "payload_digest": digest,
@@ -96,7 +119,7 @@ def parse_arc(name: str, content: bytes) -> Iterator[dict]:
 
 
 def _date(value: str) -> str:
-    v = (value + "00000101000000"[len(value) :])[:14] if value.isdigit() else DATE
+    v = (value + "00000101000000"[len(value) :])[:14] if value.isascii() and value.isdigit() else DATE
     return f"{v[:4]}-{v[4:6]}-{v[6:8]}T{v[8:10]}:{v[10:12]}:{v[12:14]}Z"
 
 
@@ -145,7 +168,7 @@ def pages_to_arc(pages: DataFrame, key: str, url: str, payload: str) -> DataFram
 def with_types(records: DataFrame, headers: DataFrame | None = None) -> DataFrame:
     """records with record_type, refers_to (key of the response) and refers_to_id. Keys that are numbers are compared as numbers. headers: the same
     records without payloads, if they can be had for less."""
-    order = F.struct(F.expr("key = '-'").alias("none"), F.expr("try_cast(key AS decimal(38,0))").isNull().alias("z"), F.expr("try_cast(key AS decimal(38,0))").alias("number"), "key", "record_id")
+    order = F.struct(F.expr("key = '-'").alias("none"), F.expr("try_cast(key AS decimal(38,0))").isNull().alias("z"), F.expr("try_cast(key AS decimal(38,0))").alias("number"), key_of(F.col("key")).alias("text"), "key", "record_id")
     large = (records if headers is None else headers).filter(F.col("payload_bytes") >= LEAST_REVISIT)
     firsts = large.groupBy("payload_digest").agg(F.min(order).alias("first"), F.count("*").alias("n")).filter("n > 1")
     firsts = cut(firsts.select("payload_digest", F.col("first.key").alias("first_key"), F.col("first.record_id").alias("first_id")))
@@ -156,8 +179,9 @@ def with_types(records: DataFrame, headers: DataFrame | None = None) -> DataFram
     return out.withColumns({"record_type": kind, "refers_to": F.when(revisit, F.col("first_key")), "refers_to_id": F.when(revisit, F.col("first_id"))}).drop("first_key", "first_id")
 
 
-def write_warc(records: DataFrame, path: str) -> None:
-    """WARC archives of typed records (those of type "error" are left out), one file per task and ARCHIVE_BYTES or so."""
+def write_warc(records: DataFrame, path: str, largest: int = 0) -> None:
+    """WARC archives of typed records (those of type "error" are left out), a new one after FILE_RECORDS records of a task, or after fewer where
+    payloads of `largest` bytes would make it larger than FILE_BYTES."""
     head = [
         F.lit("WARC/1.1"), F.concat(F.lit("WARC-Type: "), "record_type"), F.concat(F.lit("WARC-Record-ID: <urn:uuid:"), "record_id", F.lit(">")), F.concat(F.lit("WARC-Date: "), "date"),
         F.concat(F.lit("WARC-Target-URI: "), "url"), F.concat(F.lit("WARC-Payload-Digest: sha256:"), "payload_digest"), F.concat(F.lit("X-Document-Key: "), "key"), F.concat(F.lit("X-Payload-Length: "), "payload_bytes"),
@@ -167,7 +191,7 @@ def write_warc(records: DataFrame, path: str) -> None:
     ]
     body = F.when(F.col("record_type") == "revisit", F.lit("")).otherwise(F.col("payload").cast("string"))
     rows = records.filter("record_type <> 'error'").select(F.concat(F.concat_ws("\r\n", *head), F.lit("\r\n\r\n"), body).alias("value"))
-    rows.write.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", 2000).option("compression", "gzip").text(path)
+    rows.write.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", max(1, min(FILE_RECORDS, FILE_BYTES // (largest + 1000)))).option("compression", "gzip").text(path)
 
 
 def parse_warc(content: bytes) -> Iterator[dict]:
@@ -211,6 +235,8 @@ def read_warc(archives: DataFrame) -> DataFrame:
 
 def arc_to_warc(archives: DataFrame, path: str) -> DataFrame:
     """Converts, writes WARC archives under `path` and reads them back."""
-    write_warc(with_types(convert(archives), convert(archives, payloads=False)), path)
+    headers = cut(convert(archives, payloads=False).select("key", "record_id", "payload_bytes", "payload_digest"))
+    largest = headers.agg(F.coalesce(F.max("payload_bytes"), F.lit(0))).first()[0]
+    write_warc(with_types(convert(archives), headers), path, largest)
     files = archives.sparkSession.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
     return read_warc(files)
