@@ -12,7 +12,7 @@ score is lambda * S - ln(K * n), n the text's tokens, with Karlin and Altschul's
 K estimated on clean training texts. Segments above zero are significant passages; a document's evidence is the sum of their
 normalised scores, and a logistic curve fitted on the training sample turns it and the best segment's score into a probability.
 
-Driver: at most MAX_TOKENS token scores, and two numbers and a label for each sampled document.
+Driver: the scores of the units that pass these limits in the bounded sample, and two numbers and a label for each sampled document.
 
 Defined results: null and empty texts have no tokens and no segment, and get the curve's value at zero evidence; null labels are not
 learned from; a document with several labels counts with each; without toxic or without clean labels every score is the prior share;
@@ -35,7 +35,6 @@ from pyspark.sql import types as T
 from .common import cut, let, text_of, words_of
 
 SAMPLE_DOCS = 20_000
-MAX_TOKENS = 20_000
 LEAST_COUNT = 5
 PRIOR_SHARE = 0.1
 Z_LEAST = 3.4
@@ -198,7 +197,7 @@ def train(sample: DataFrame) -> Model:
     odds = lambda y, n: F.log((F.col(y) + alpha) / (n + prior_tokens - F.col(y) - alpha))
     scored = counts.filter((F.col("toxic") + F.col("clean") >= LEAST_COUNT) & (F.col("token") != "")).withColumn("odds", odds("toxic", n1) - odds("clean", n0))
     scored = scored.withColumn("z", F.col("odds") / F.sqrt(1 / (F.col("toxic") + alpha) + 1 / (F.col("clean") + alpha))).filter((F.abs("z") >= Z_LEAST) & (F.abs("odds") >= ODDS_LEAST))
-    rows = scored.orderBy(F.abs("z").desc(), "token").limit(MAX_TOKENS).collect()
+    rows = scored.collect()  # no more than the bounded sample has
     scores = {r.token: float(r.odds) for r in sorted(rows, key=lambda r: r.token)}
     if not any(x > DRIFT for x in scores.values()):
         return nothing

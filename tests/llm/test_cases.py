@@ -70,3 +70,62 @@ def test_shards_grow_with_the_corpus(spark, monkeypatch):
     docs = spark.createDataFrame([(i, "w " * 40, f"s{i % 3}") for i in range(200)], "doc_id long, text string, source string")
     sized = common.cut(docs.select(*mixing._row(docs, "doc_id", "text", "source", mixing.SEED)))
     assert mixing.plan(sized, lambda i: i + 1).shards == 160
+
+
+def test_odd_header_lines():
+    from docloom.llm import warc
+
+    head = lambda fields: b"filedesc://f 0.0.0.0 19960923142103 text/plain %d\n" % len(b"1 0 x\n" + fields + b"\n\n") + b"1 0 x\n" + fields + b"\n\n"
+    usual = b"URL IP-address Archive-date Content-type Archive-length"
+    assert list(warc.parse_arc("f", head(usual) + "http://x/ 1.2.3.4 19970101 text/html ²\nabcd\n".encode()))[0]["error"].endswith("broken record")
+    assert list(warc.parse_arc("f", head(usual) + b"http://x/ 1.2.3.4 19970101 text/html " + b"9" * 5000 + b"\nabcd\n"))[0]["error"].endswith("broken record")
+    got = list(warc.parse_arc("f", head(b"Place Archive-length") + b"http://x/ 4\nabcd\nhttp://y/ 1\nz\n"))
+    assert [r["error"][-5:] for r in got] == ["a URL", "a URL"]
+    assert list(warc.parse_arc("f", head(usual) + "http://x/ 1.2.3.4 ٣٣٣٣ text/html 4\nabcd\n".encode()))[0]["date"] == "2024-01-01T00:00:00Z"
+
+
+def test_text_keys_and_long_payloads_round_trip(spark, tmp_path):
+    from docloom.llm import warc
+
+    keys = ["b +%", "-", "", None, "é", "a", "7", "B"]
+    rows = [(k, "u", "same payload " * 20, "x", "y") for k in keys] + [("long", "u", "z" * 9_000_000, "x", "y")]
+    pages = spark.createDataFrame(rows, "page_id string, url string, html string, key string, payload string").repartition(2)
+    out = warc.arc_to_warc(warc.pages_to_arc(pages, "page_id", "url", "html"), str(tmp_path / "w"))
+    out = out.select(warc.key_of(F.col("key")).alias("k"), "record_type", warc.key_of(F.col("refers_to")).alias("r"), "payload_bytes").collect()
+    assert collections.Counter(r.k for r in out) == collections.Counter([*keys, "long"])
+    assert {r.k for r in out if r.record_type == "response"} == {"7", "long"} and {r.r for r in out} == {None, "7"}
+    assert max(r.payload_bytes for r in out) == 9_000_000
+
+
+def test_window_count_rises_and_rests_are_carried():
+    from docloom.llm import packing
+
+    assert len(set(packing.windows_without_cutting(np.full(40, 2049)).tolist())) == 40
+    rng = np.random.default_rng(8)
+    for n in (0, 1, 7, 300):
+        lengths = rng.integers(1, 9000, n)
+        pieces, sequences, left = packing.pack_windows(lengths)
+        total = sum(r[2] for r in left)
+        assert total < 4096 and sequences * 4096 + total == lengths.sum()
+        tail = packing.pack_tail(left, sequences)
+        covered = collections.defaultdict(list)
+        for d, start, size, _, _ in [*pieces, *tail]:
+            covered[d].append((start, start + size))
+        for d, parts in covered.items():
+            parts.sort()
+            assert parts[0][0] == 0 and parts[-1][1] == lengths[d] and all(a[1] == b[0] for a, b in zip(parts, parts[1:], strict=False))
+        assert len({p[3] for p in tail}) == bin(total).count("1")
+
+
+def test_short_sequences_come_once_a_task(spark, monkeypatch):
+    from docloom.llm import packing
+
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    monkeypatch.setattr(packing, "CHUNK_DOCS", 16)
+    docs = spark.createDataFrame([(i, "some words of text " * (i % 50)) for i in range(400)], "doc_id long, text string").repartition(2)
+    rows = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json")).collect()
+    sizes = collections.Counter()
+    for r in rows:
+        sizes[r.sequence_id] += r.length
+    short = collections.Counter((q >> 40, n) for q, n in sizes.items() if n < 4096)
+    assert max(short.values(), default=1) == 1 and all(n & (n - 1) == 0 for _, n in short)
