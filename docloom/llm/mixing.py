@@ -23,11 +23,12 @@ same draws; columns may have any name, those of mix() stay as they are.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from math import ceil, floor, gcd
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -142,22 +143,24 @@ def plan(sized: DataFrame, weights, shards: int | None = None, seed: int = SEED)
     ends = np.cumsum(splitting_tree(quotas, shards, seed), axis=1)
     steps = [[_coprime(n, n // 3 + 1 + 11 * k) if n else 1 for k in range(p)] for n, p in zip(n_blocks, passes, strict=True)]
 
-    def dealt(batch: pd.DataFrame) -> pd.Series:
-        """The shards of each block's draws: by whole pass, then of the last part of a pass."""
-        out = pd.Series([None] * len(batch), dtype=object)
-        for s, at in batch.groupby("s").indices.items():
-            place, n = batch["place"].to_numpy()[at], n_blocks[s]
-            each = [np.searchsorted(ends[s], k * n + (place * step + k) % n, side="right") for k, step in enumerate(steps[s])]
-            last = np.where(place < drawn[s], np.searchsorted(ends[s], passes[s] * n + place, side="right"), -1)
-            for i, own in zip(at, np.column_stack([*each, last]).tolist(), strict=True):
-                out.iat[i] = own
-        return out
-
-    def run(batches):
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each block with the shards of its draws: by whole pass, then of the last part of a pass, -1 where it isn't drawn."""
         for batch in batches:
-            yield batch[["s", "rank", "words", "part"]].assign(shards=dealt(batch))
-
-    blocks = cut(held.select("s", "rank", "words", "part", "place").mapInPandas(run, "s int, rank long, words long, part long, shards array<int>"))
+            source, place = batch.column(0).to_numpy(), batch.column(4).to_numpy()
+            order = np.argsort(source, kind="stable")
+            found, lengths = [], np.zeros(len(source), np.int64)
+            for at in np.split(order, np.flatnonzero(np.diff(source[order])) + 1) if len(source) else ():
+                s, own = int(source[at[0]]), place[at]
+                each = [np.searchsorted(ends[s], k * n_blocks[s] + (own * step + k) % n_blocks[s], side="right") for k, step in enumerate(steps[s])]
+                last = np.where(own < drawn[s], np.searchsorted(ends[s], passes[s] * n_blocks[s] + own, side="right"), -1)
+                found.append(np.column_stack([*each, last]).astype(np.int32).ravel())
+                lengths[at] = len(each) + 1
+            offsets = np.concatenate([[0], np.cumsum(lengths[order])]).astype(np.int32)
+            shards = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found) if found else np.zeros(0, np.int32)))
+            columns = [c.take(pa.array(order)) for c in batch.columns[:4]]
+            yield pa.RecordBatch.from_arrays([*columns, shards], names=["s", "rank", "words", "part", "shards"])
+
+    blocks = cut(held.select("s", "rank", "words", "part", "place").mapInArrow(dealt, "s int, rank long, words long, part long, shards array<int>"))
 
     # the blocks in which a last pass ends: what each row gives; rows equal in id and text count as one and share what they get
     ending = blocks.filter("part > 0 and part < words").select("s", "rank", "part")  # one for each source at most
