@@ -48,10 +48,11 @@ def skip_reason(title: Column, text: Column, tokens: Column) -> Column:
     """Why a section isn't worth reading on, or null."""
     lines = F.filter(F.split(text, r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\u0085  ]"), lambda x: (strip(x) != "") & ~x.startswith("[[p."))
     listed = F.size(F.filter(lines, lambda x: x.rlike(DOT_LEADER)))
+    any_listed = text.rlike(r"(?U)(?:\.{3}|…|\s{3})\s*\d")  # spares the lines of most texts
     return (
         F.when(tokens < MIN_TOKENS, F.lit("too short"))
         .when(F.coalesce(title, F.lit("")).rlike(SKIP_TITLES), F.concat(F.lit("front/back matter ("), strip(title), F.lit(")")))
-        .when((F.size(lines) > 0) & (2 * listed > F.size(lines)), F.lit("table of contents"))
+        .when(any_listed & (F.size(lines) > 0) & (2 * listed > F.size(lines)), F.lit("table of contents"))
     )
 
 
@@ -68,7 +69,8 @@ def ranked_types(scores: dict[str, Column]) -> Column:
 
 def classify(sections: DataFrame) -> DataFrame:
     """section_id, skip_reason, types, scores (map), unclear, signals. Skipped sections have no types and no scores."""
-    own = raw_scores(sections.withColumn("skip_reason", skip_reason(F.col("title"), F.col("text"), F.col("token_estimate"))))
+    own = sections.withColumn("skip_reason", skip_reason(F.col("title"), F.col("text"), F.col("token_estimate")))
+    own = raw_scores(own.withColumn("text", F.when(F.col("skip_reason").isNull(), F.col("text"))))  # what is skipped isn't searched
     scores = {k: per_thousand(F.col(f"raw_{k.lower()}"), F.col("token_estimate")) for k in TYPES}
     read = F.col("skip_reason").isNull()
     found = own.withColumn("__types", ranked_types(scores))
