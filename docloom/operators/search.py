@@ -55,6 +55,23 @@ def phrases(query: str) -> list[list[str]]:
     return [p for p in found if p]
 
 
+def _scored(hits: DataFrame, totals: DataFrame, key: str, n_phrases: int, limit: int | None) -> DataFrame:
+    """hits: key, length, phrase and f, its number of places; totals: one row with n (documents) and mean (their length). BM25, lower is better."""
+    found = hits.groupBy("phrase").agg(F.count("*").alias("df"))  # as many rows as phrases
+    idf = F.log((F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    weights = found.crossJoin(F.broadcast(totals)).select("phrase", "mean", F.when(idf > 0, F.greatest(idf, F.lit(LEAST_IDF))).otherwise(LEAST_IDF).alias("idf"))
+    part = F.col("idf") * F.col("f") * (K1 + 1) / (F.col("f") + K1 * (1 - B + B * F.col("length") / F.col("mean")))
+    every = hits.join(F.broadcast(weights), "phrase").groupBy(key).agg(F.count("*").alias("n"), (-F.sum(part)).alias("score")).filter(F.col("n") == n_phrases)
+    every = every.select(key, "score")
+    return every if limit is None else every.orderBy("score", key).limit(limit)
+
+
+def _means(sizes: DataFrame, n_documents: Column) -> DataFrame:
+    """One row: documents and their mean length, 1 where there is none."""
+    mean = F.sum("length") / n_documents
+    return sizes.agg(n_documents.cast("long").alias("n"), F.when(mean > 0, mean).otherwise(1.0).alias("mean"))
+
+
 def keyword_search(postings: DataFrame, sizes: DataFrame, n_documents: int, key: str, query: str, limit: int | None = 20) -> DataFrame:
     """key and score (lower is better) of the documents that have every phrase of the query, best first, ties by key. Only the postings of the
     query's tokens are read. An empty query finds nothing. Without a limit: all of them, in no order."""
@@ -69,14 +86,34 @@ def keyword_search(postings: DataFrame, sizes: DataFrame, n_documents: int, key:
             own = own.join(following, [key, "field", "p"], "left_semi")
         own = own.groupBy(key).agg(F.count("*").alias("f")).withColumn("phrase", F.lit(i))
         hits = own if hits is None else hits.unionByName(own)
-    found = hits.groupBy("phrase").agg(F.count("*").alias("df"))
-    idf = F.greatest(F.log((F.lit(n_documents) - F.col("df") + 0.5) / (F.col("df") + 0.5)), F.lit(LEAST_IDF))
-    mean = sizes.agg(F.sum("length") / F.lit(float(n_documents))).first()[0] or 1.0
-    scored = hits.join(found.withColumn("idf", F.when(idf > 0, idf).otherwise(LEAST_IDF)), "phrase").join(sizes, key)
-    part = F.col("idf") * F.col("f") * (K1 + 1) / (F.col("f") + K1 * (1 - B + B * F.col("length") / mean))
-    every = scored.groupBy(key).agg(F.count("*").alias("n"), (-F.sum(part)).alias("score")).filter(F.col("n") == len(wanted))
-    every = every.select(key, "score")
-    return every if limit is None else every.orderBy("score", key).limit(limit)
+    return _scored(hits.join(sizes, key), _means(sizes, F.lit(n_documents)), key, len(wanted), limit)
+
+
+def scan_search(documents: DataFrame, key: str, columns: tuple[str, ...], query: str, limit: int | None = 20) -> DataFrame:
+    """What keyword_search gives, for a query that isn't worth an index: documents are read once for their lengths and once for their hits, and only
+    a hit's key, length and counts leave the scan. Keys must be unique."""
+    wanted = phrases(query)
+    if not wanted:
+        return documents.select(key, F.lit(0.0).alias("score")).limit(0)
+    fields = [tokens(F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in columns]
+    read = documents.select(key, F.array(*fields).alias("fields"))
+    length = F.aggregate("fields", F.lit(0), lambda n, t: n + F.size(t)).cast("long")
+
+    def places(phrase: list[str]) -> Column:
+        at = lambda t, i: F.forall(F.array(*[F.coalesce(F.get(t, i + k) == w, F.lit(False)) for k, w in enumerate(phrase[1:], 1)]), lambda x: x) if phrase[1:] else F.lit(True)
+        in_field = lambda t: F.size(F.filter(F.transform(t, lambda w, i: (w == phrase[0]) & at(t, i)), lambda x: x))
+        return F.aggregate("fields", F.lit(0), lambda n, t: n + in_field(t)).cast("long")
+
+    counted = read.select(key, length.alias("length"), F.array(*[F.struct(F.lit(i).alias("phrase"), places(p).alias("f")) for i, p in enumerate(wanted)]).alias("hits"))
+    hits = counted.select(key, "length", F.inline("hits")).filter("f > 0")
+    return _scored(hits, _means(read.select(length.alias("length")), F.count("*")), key, len(wanted), limit)
+
+
+def store_index(postings: DataFrame, path: str, key: str) -> DataFrame:
+    """Writes an index for many searches, in order of token: a search reads the row groups whose bounds hold its tokens. A frequent token's postings
+    span as many files as they need."""
+    postings.repartitionByRange("token", key).sortWithinPartitions("token", key, "field", "pos").write.mode("overwrite").parquet(path)
+    return postings.sparkSession.read.schema(postings.schema).parquet(path)
 
 
 def snippet(body: str, query: str, size: int = 12) -> str:

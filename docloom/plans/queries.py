@@ -13,6 +13,7 @@ from ..operators import classify as cls
 from ..operators import cleaning, export, headings, library, link, overlap, records, search, usage, validate
 from ..operators import sections as sec
 from ..operators import terms as trm
+from ..sources.files import dealt
 
 #: Portable SQL: runs in Spark and DuckDB alike. One section per customer; five kinds by turns.
 LEGAL = """
@@ -114,7 +115,7 @@ def class_summary(spark, d):
     """The flagship: sections and documents by first type and reason to skip."""
     (docs,) = load(spark, d, "documents")
     own = docs.select(F.concat(F.lit("text_"), F.col("doc_id").cast("string")).alias("section_id"), F.lit("").alias("title"), "text", text.estimate_tokens(F.col("text")).alias("token_estimate"), F.lit(False).alias("has_tables"))
-    both = legal_sections(spark, d).select(*own.columns).unionByName(own)
+    both = dealt(legal_sections(spark, d)).select(*own.columns).unionByName(dealt(own))
     found = cls.classify(both)
     return found.groupBy(F.coalesce(F.get("types", F.lit(0)), F.lit("")).alias("first_type"), F.coalesce("skip_reason", F.lit("")).alias("skip_reason")).agg(F.count("*").alias("n"))
 
@@ -208,7 +209,7 @@ def plain_words(text_column):
 
 def _texts_and_benchmark(spark, d):
     docs, bench = load(spark, d, "documents", "benchmark")
-    return docs.select("doc_id", plain_words(F.col("text")).alias("words")), bench.select("item_id", plain_words(F.col("text")).alias("words"))
+    return dealt(docs).select("doc_id", plain_words(F.col("text")).alias("words")), bench.select("item_id", plain_words(F.col("text")).alias("words"))
 
 
 def ngram_containment(spark, d):
@@ -393,26 +394,28 @@ def merged_library(spark, d):
 # search
 
 
-def _index(spark, d):
-    (docs,) = load(spark, d, "documents")
-    postings = search.index(docs, "doc_id", ("source", "text"))
-    return postings, search.lengths(postings, "doc_id"), docs.count()
-
-
 QUERY = "mit license"
 
 
 def keyword_and(spark, d):
-    postings, sizes, n = _index(spark, d)
-    return search.keyword_search(postings, sizes, n, "doc_id", QUERY, limit=None).select("doc_id")
+    (docs,) = load(spark, d, "documents")
+    return search.scan_search(dealt(docs), "doc_id", ("source", "text"), QUERY, limit=None).select("doc_id")
 
 
 def bm25_top(spark, d):
-    postings, sizes, n = _index(spark, d)
-    own = search.keyword_search(postings, sizes, n, "doc_id", QUERY)
+    (docs,) = load(spark, d, "documents")
+    own = search.scan_search(dealt(docs), "doc_id", ("source", "text"), QUERY)
     return own.select("doc_id", F.round("score", 6).alias("score"))
 
 
+def phrase_search(spark, d):
+    """The inverted index: turns of conversations that hold two words one after the other."""
+    (turns,) = load(spark, d, "conversations")
+    own = turns.select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), "role", "text")
+    postings = search.index(own, "id", ("role", "text"))
+    return search.keyword_search(postings, search.lengths(postings, "id"), own.count(), "id", "user the-of", limit=None).select("id", F.round("score", 6).alias("score"))
+
+
 def search_snippets(spark, d):
     (docs,) = load(spark, d, "documents")
     return search.snippets(keyword_and(spark, d).join(docs, "doc_id"), "text", QUERY).select("doc_id", "snippet")
@@ -475,7 +478,7 @@ QUERIES = (
     content_ids, content_duplicates, token_estimate, text_quality_counts, line_signatures, repeated_edges, clean_text_lengths, telegraphic_notes, keyword_counts, class_scores, class_types, skip_reasons, class_summary, legal_terms, term_keys, protected_terms,
     body_size, style_levels, normalised_levels, parent_heading, topic_paths, block_assignment, detected_headings, section_pieces, page_ranges, ngram_containment, longest_shared_run, interval_merge, best_sentence, built_records, validated_records, merged_records,
     entity_registry, record_relations, relation_dedupe, relations_of, evidence_integrity, pages_outside_section, identifier_support, verdicts, statements_check, topic_tree_counts, upsert_latest, stage_summary, recover_interrupted, todo_units, review_pending, merged_library,
-    keyword_and, bm25_top, search_snippets, vector_topk, vector_topk_each, usage_cost, cost_estimate, run_totals, export_sources, knowledge_export,
+    keyword_and, bm25_top, phrase_search, search_snippets, vector_topk, vector_topk_each, usage_cost, cost_estimate, run_totals, export_sources, knowledge_export,
 )
 
 

@@ -18,11 +18,20 @@ PAGE = f"doc_id string, page int, text string, is_ocr boolean, lines {LINE}, tab
 
 def scan_inbox(spark: SparkSession, path: str, suffix: str = ".pdf") -> DataFrame:
     """path, filename, doc_id, length, content of the files below a folder, names that start with a dot left out; files with the same bytes once, under the
-    first path."""
+    first path; in no order."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    named = files.withColumn("filename", F.element_at(F.split("path", "/"), -1)).filter(F.lower("filename").endswith(suffix) & ~F.col("filename").startswith("."))
-    first = named.groupBy(content_id(F.col("content")).alias("doc_id")).agg(F.min("path").alias("path"))
-    return named.join(first, "path").select("path", "filename", "doc_id", "length", "content").orderBy("path")
+    wanted = F.lower("filename").endswith(suffix) & ~F.col("filename").startswith(".")
+    named = files.withColumn("filename", F.element_at(F.split("path", "/"), -1)).filter(wanted)
+    # bytes are hashed where they are read; only paths and ids are grouped, and the bytes are read again where they are needed
+    hashed = named.select("path", content_id(F.col("content")).alias("doc_id"))
+    first = hashed.groupBy("doc_id").agg(F.min("path").alias("path"))
+    return named.join(first, "path").select("path", "filename", "doc_id", "length", "content")
+
+
+def dealt(table: DataFrame) -> DataFrame:
+    """A scan with fewer splits than the session has cores, as of one small file, dealt out to all of them; any other as it is."""
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
