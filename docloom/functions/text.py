@@ -58,6 +58,11 @@ def needs_ocr(text: Column, image_share: Column, min_chars: int = 50, min_share:
     return (F.length(strip(text)) < min_chars) & (image_share > min_share)
 
 
+def image_coverage(areas: Column, page_area: Column) -> Column:
+    """Share of a page that images cover, by the areas they have on it; images over one another count each, the share ends at 1."""
+    return F.when(page_area > 0, F.least(F.aggregate(areas, F.lit(0.0), lambda s, a: s + a) / page_area, F.lit(1.0))).otherwise(0.0)
+
+
 def clean_title(name: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(F.trim(F.regexp_replace(name, "_+", " ")), r"\s+\d+$", ""), r"(?U)\s+", " "))
 

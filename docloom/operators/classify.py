@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -82,3 +84,18 @@ def classify(sections: DataFrame) -> DataFrame:
         (read & (F.size("__types") == 0)).alias("unclear"),
         F.when(read, commentary(F.col("text"))).otherwise(F.array().cast("array<string>")).alias("signals"),
     )
+
+
+MODEL_CHARS = 6000
+
+
+def reclassified(classes: DataFrame, sections: DataFrame, responder: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """classes with the word of a model on unclear sections that aren't skipped. responder: section_id and text (its first MODEL_CHARS characters) to
+    section_id, types and skip_reason, null where it has nothing to say. method tells which rule or model decided."""
+    asked = classes.filter("unclear and skip_reason is null").select("section_id").join(sections.select("section_id", F.substring("text", 1, MODEL_CHARS).alias("text")), "section_id")
+    said = responder(asked).select("section_id", F.filter("types", lambda t: t.isin(*TYPES)).alias("__types"), F.col("skip_reason").alias("__skip"))
+    out = classes.join(said, "section_id", "left")
+    skipped, named = F.col("__skip").isNotNull(), F.size("__types") > 0
+    types = F.when(skipped, F.array().cast("array<string>")).when(named, F.col("__types")).otherwise(F.col("types"))
+    method = F.when(skipped | named, "model").otherwise("rules")
+    return out.withColumns({"types": types, "skip_reason": F.coalesce("skip_reason", "__skip"), "method": method}).drop("__types", "__skip")

@@ -4,11 +4,17 @@ from __future__ import annotations
 
 import html
 import json
+from collections.abc import Iterable, Iterator
+from types import SimpleNamespace
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .library import record_title
+from .link import RELATIONS
+from .records import FIELDS
 
 TYPE_ORDER = ("CONCEPT", "CASE", "RULE", "EXAMPLE", "COMPARISON")
 
@@ -70,7 +76,7 @@ def knowledge_records(records: DataFrame, files: DataFrame, pending: DataFrame |
     return rows.select(
         "record_id", F.coalesce("topic.name", F.lit("")).alias("topic"), F.coalesce("subtopic.name", F.lit("")).alias("subtopic"), F.col("record_type").alias("content_type"), record_title().alias("title"), knowledge().alias("knowledge"),
         F.when(F.col("record_type") == "EXAMPLE", F.concat(others, illustrated)).otherwise(others).alias("related_concepts"), F.transform(F.filter("related", lambda r: r["type"] == "CASE"), lambda r: r["name"]).alias("related_cases"),
-        F.get("sources", F.lit(0)).alias("source"), F.slice("sources", 2, 1_000_000).alias("additional_sources"), F.struct(F.col("out_status").alias("status"), F.col("similarity").alias("similarity_score"), "reason").alias("validation"), "review_id",
+        F.get("sources", F.lit(0)).alias("source"), F.filter("sources", lambda x, i: i > 0).alias("additional_sources"), F.struct(F.col("out_status").alias("status"), F.col("similarity").alias("similarity_score"), "reason").alias("validation"), "review_id",
     )
 
 
@@ -78,7 +84,7 @@ def overview(records: DataFrame) -> DataFrame:
     """A row for each record, lists as texts: what the CSV export holds."""
     docs = F.array_join(F.array_sort(F.array_distinct(F.transform("evidence", lambda e: e["doc_id"]))), " ")
     pages = F.array_join(F.transform(F.array_sort(F.array_distinct(F.flatten(F.transform("evidence", lambda e: e["pages"])))), lambda p: p.cast("string")), " ")
-    return records.select("record_id", F.col("record_type").alias("type"), record_title().alias("title"), F.coalesce("topic.name", F.lit("")).alias("topic"), F.coalesce("subtopic.name", F.lit("")).alias("subtopic"), docs.alias("documents"), pages.alias("pages"), "proprietary").orderBy("record_id")
+    return records.select("record_id", F.col("record_type").alias("type"), record_title().alias("title"), F.coalesce("topic.name", F.lit("")).alias("topic"), F.coalesce("subtopic.name", F.lit("")).alias("subtopic"), docs.alias("documents"), pages.alias("pages"), "proprietary", F.coalesce(F.col("status") == "HUMAN_REVIEW", F.lit(False)).alias("needs_review")).orderBy("record_id")
 
 
 def write_json_lines(rows: DataFrame, path: str) -> None:
@@ -89,6 +95,48 @@ def write_csv(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").option("header", "true").csv(path)
 
 
+def write_csv_file(rows: DataFrame, path: str) -> None:
+    """One UTF-8 file with a byte order mark, as spreadsheets want it, written row by row."""
+    import csv
+
+    with open(path, "w", encoding="utf-8-sig", newline="") as out:
+        writer = csv.writer(out)
+        writer.writerow(rows.columns)
+        for row in rows.toLocalIterator():
+            writer.writerow(["" if v is None else v for v in row])
+
+
+def export_library(records: DataFrame, relations: DataFrame, topics: DataFrame, folder: str) -> None:
+    """records, relations and topics as folders of JSON lines; topics: topic_id, name, parent_id, n."""
+    write_json_lines(records.orderBy("record_id"), f"{folder}/records.jsonl")
+    write_json_lines(relations.select("from_id", "relation", "to_id", "basis"), f"{folder}/relations.jsonl")
+    write_json_lines(topics.select("topic_id", "name", "parent_id", F.col("n").alias("records")), f"{folder}/topics.jsonl")
+
+
+def json_schema(kind: T.DataType) -> dict:
+    """A Spark type as JSON Schema."""
+    if isinstance(kind, T.StructType):
+        return {"type": "object", "properties": {f.name: json_schema(f.dataType) for f in kind.fields}}
+    if isinstance(kind, T.ArrayType):
+        return {"type": "array", "items": json_schema(kind.elementType)}
+    if isinstance(kind, T.MapType):
+        return {"type": "object", "additionalProperties": json_schema(kind.valueType)}
+    names = {"string": "string", "boolean": "boolean", "double": "number", "float": "number", "int": "integer", "bigint": "integer"}
+    return {"type": names.get(kind.simpleString(), "string")}
+
+
+def schemas(records: DataFrame) -> dict[str, dict]:
+    """One JSON Schema for each record type, with the statement fields it may have, and one for relations."""
+    out = {}
+    for kind, fields in FIELDS.items():
+        own = json_schema(records.schema)
+        own["properties"]["record_type"] = {"const": kind}
+        own["properties"]["statements"]["items"]["properties"]["field"] = {"enum": fields}
+        out[kind] = own
+    edge = {c: {"type": "string"} for c in ("from_id", "to_id", "basis")} | {"relation": {"enum": list(RELATIONS)}}
+    return out | {"relation": {"type": "object", "properties": edge}}
+
+
 def page_ranges(rows: DataFrame, key: str, page: str = "page") -> DataFrame:
     """key and ranges: '425–427, 431' for pages 425, 426, 427 and 431."""
     from pyspark.sql import Window
@@ -105,21 +153,76 @@ def ordered_for_reading(rows: DataFrame) -> DataFrame:
     return rows.withColumns({"topic": F.when(F.col("topic") == "", "General").otherwise(F.col("topic"))}).orderBy("topic", "subtopic", place, "title", "record_id")
 
 
-def html_page(rows: DataFrame, title: str = "Library") -> str:
-    """One page with all knowledge records. Rows are read from Spark a partition at a time; the page itself is as long as the library."""
-    out = [f"<!doctype html><meta charset='utf-8'><title>{html.escape(title)}</title><h1>{html.escape(title)}</h1>"]
+def topic_counts(rows: DataFrame) -> DataFrame:
+    """topic, subtopic and n of knowledge records; the row of a topic alone has no subtopic. For the table of contents."""
+    named = rows.select(F.when(F.col("topic") == "", "General").otherwise(F.col("topic")).alias("topic"), F.when(F.col("subtopic") != "", F.col("subtopic")).alias("subtopic"))
+    return named.rollup("topic", "subtopic").agg(F.count("*").alias("n"), F.grouping_id().alias("g")).filter("topic is not null and (g = 1 or g = 0 and subtopic is not null)").drop("g")
+
+
+def _article(row) -> str:
+    cells = "".join(f"<dt>{html.escape(k.replace('_', ' '))}</dt><dd>{_cell(v)}</dd>" for k, v in json.loads(row.knowledge).items())
+    mark = f" class='review'><p>{html.escape((row.validation.reason if row.validation else None) or 'to be reviewed')}</p" if row.review_id else ""
+    return f"<article{mark}><h4>{html.escape(row.title or '')}</h4><p>{row.content_type}</p><dl>{cells}</dl></article>"
+
+
+def _page(title: str, parts: Iterable[str]) -> str:
+    return "\n".join([f"<!doctype html><meta charset='utf-8'><title>{html.escape(title)}</title><h1>{html.escape(title)}</h1>", *parts])
+
+
+def _sections(rows: Iterable) -> Iterator[str]:
+    """Articles under a heading for each topic and subtopic, those to be reviewed at the end."""
     topic = sub = None
-    for row in ordered_for_reading(rows).toLocalIterator():
+    late = []
+    for row in rows:
+        if row.review_id:
+            late.append(_article(row))
+            continue
         if row.topic != topic:
             topic, sub = row.topic, None
-            out.append(f"<h2>{html.escape(topic)}</h2>")
+            yield f"<h2>{html.escape(topic)}</h2>"
         if row.subtopic != sub and row.subtopic:
             sub = row.subtopic
-            out.append(f"<h3>{html.escape(sub)}</h3>")
-        cells = "".join(f"<dt>{html.escape(k.replace('_', ' '))}</dt><dd>{_cell(v)}</dd>" for k, v in json.loads(row.knowledge).items())
-        mark = " class='review'" if row.review_id else ""
-        out.append(f"<article{mark}><h4>{html.escape(row.title or '')}</h4><p>{row.content_type}</p><dl>{cells}</dl></article>")
-    return "\n".join(out)
+            yield f"<h3>{html.escape(sub)}</h3>"
+        yield _article(row)
+    if late:
+        yield "<h2>To be reviewed</h2>"
+        yield from late
+
+
+def contents(counts: Iterable) -> str:
+    """The table of contents: topics with their subtopics and numbers of records."""
+    lines = [f"<li>{'&nbsp;' * 4 if r.subtopic else ''}{html.escape(r.subtopic or r.topic)} ({r.n})</li>" for r in counts]
+    return f"<ul>{''.join(lines)}</ul>"
+
+
+def html_page(rows: DataFrame, title: str = "Library") -> str:
+    """One page with all knowledge records, for libraries that fit one; see html_pages."""
+    toc = contents(topic_counts(rows).orderBy("topic", F.col("subtopic").asc_nulls_first()).toLocalIterator())
+    return _page(title, [toc, *_sections(ordered_for_reading(rows).toLocalIterator())])
+
+
+def html_pages(rows: DataFrame, path: str, title: str = "Library") -> None:
+    """A page for each topic, written by tasks as text files in `topic=...` folders below `path`, and the table of contents in `contents`. A task
+    holds one row at a time."""
+
+    def pages(frames):
+        topic = None
+        for frame in frames:
+            out = []
+            for row in frame.itertuples():
+                if row.topic != topic:
+                    topic = row.topic
+                    out.append((row.topic, _page(row.topic, [])))
+                review = {"validation": SimpleNamespace(reason=row.reason), "review_id": row.review_id}
+                out.append((row.topic, _article(SimpleNamespace(knowledge=row.knowledge, title=row.title, content_type=row.content_type, **review))))
+            yield pd.DataFrame(out, columns=["topic", "value"])
+
+    place = F.array_position(F.array(*map(F.lit, TYPE_ORDER)), F.col("content_type"))
+    own = rows.select(F.when(F.col("topic") == "", "General").otherwise(F.col("topic")).alias("topic"), "subtopic", place.alias("place"), "title", "record_id", "knowledge", "content_type", "review_id", F.col("validation.reason").alias("reason"))
+    own = own.repartition("topic").sortWithinPartitions("topic", F.col("review_id").isNotNull(), "subtopic", "place", "title", "record_id")
+    own.select("topic", "title", "knowledge", "content_type", "review_id", "reason").mapInPandas(pages, "topic string, value string").write.mode("overwrite").partitionBy("topic").text(path)
+    toc = topic_counts(rows).withColumn("line", F.concat(F.lit("<li>"), F.coalesce("subtopic", "topic"), F.lit(" ("), "n", F.lit(")</li>")))
+    toc.orderBy("topic", F.col("subtopic").asc_nulls_first()).select("line").write.mode("overwrite").text(f"{path.rstrip('/')}-contents")
 
 
 def _cell(value) -> str:

@@ -75,6 +75,14 @@ def detect_headings(lines: DataFrame, max_levels: int = 3) -> DataFrame:
     return runs.select("doc_id", (F.col("run") - 1).cast("int").alias("n"), "level", "title", "page", "line_idx")
 
 
+def clean_bookmarks(toc: DataFrame, documents: DataFrame) -> DataFrame:
+    """toc: doc_id, ord, level, title, page; documents: doc_id, page_count. Titles with their white space collapsed; without bookmarks that have no title
+    or point outside the document."""
+    title = F.trim(F.regexp_replace("title", r"(?U)\s+", " "))
+    own = toc.withColumn("title", title).filter("title <> ''").join(documents.select("doc_id", "page_count"), "doc_id")
+    return own.filter("page between 1 and page_count").drop("page_count")
+
+
 def bookmarks_to_headings(toc: DataFrame, lines: DataFrame, max_levels: int = 3) -> DataFrame:
     """toc: doc_id, ord, level, title, page. Each bookmark stands at the line of its page that is most like it, or at the first line."""
     near = toc.join(lines.select("doc_id", "page", "line_idx", "text"), ["doc_id", "page"], "left")

@@ -1,61 +1,99 @@
 """The library: versioned Parquet tables with merges, counts, the review queue and stage checkpoints.
 
-A table is a folder of versions and a pointer to the current one. A merge reads the current version, writes the next one and moves the
-pointer last: readers never see half a table, and a lost task or driver leaves the old version in place.
+A table's version is a list of the folders that hold its rows, one for each bucket of keys. Data is written first, the list last and through Spark's
+commit protocol: a version without Spark's mark of success isn't there, so a lost task or driver leaves the old version in place, and readers never
+see half a table. Versions are numbered and never replaced; a merge writes the buckets that its updates fall into and lists the others as they are.
 """
 
 from __future__ import annotations
 
-import uuid
+import json
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ERROR_CHARS = 2000
 STAGES = ("ingest", "structure", "section", "classify", "extract", "compose", "validate", "link")
+#: Buckets of a table that merges have made. A bucket is as many files as its rows need.
+BUCKETS = 64
 
 
 class Library:
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
+    def __init__(self, spark: SparkSession, path: str, buckets: int = BUCKETS):
+        self.spark, self.path, self.buckets = spark, path.rstrip("/"), buckets
         sc = spark.sparkContext
         self._fs = sc._jvm.org.apache.hadoop.fs
         self._conf = sc._jsc.hadoopConfiguration()
 
-    def _pointer(self, name: str):
-        where = self._fs.Path(f"{self.path}/{name}/_current")
-        return where, where.getFileSystem(self._conf)
-
-    def version(self, name: str) -> str | None:
-        where, fs = self._pointer(name)
+    def _numbers(self, folder: str, only_whole: bool) -> list[int]:
+        """Numbers of the versions in a folder."""
+        where = self._fs.Path(folder)
+        fs = where.getFileSystem(self._conf)
         if not fs.exists(where):
+            return []
+        names = [s.getPath().getName() for s in fs.listStatus(where)]
+        return sorted(int(n) for n in names if n.isdigit() and (not only_whole or fs.exists(self._fs.Path(f"{folder}/{n}/_SUCCESS"))))
+
+    def version(self, name: str) -> int | None:
+        """The number of the current version."""
+        whole = self._numbers(f"{self.path}/{name}/versions", True)
+        return whole[-1] if whole else None
+
+    def _listed(self, name: str) -> dict | None:
+        """schema, keys, and folders by bucket of the current version; tables that no merge has made have the one bucket -1."""
+        number = self.version(name)
+        if number is None:
             return None
-        stream = fs.open(where)
-        try:
-            return bytes(stream.readAllBytes()).decode()
-        finally:
-            stream.close()
+        return json.loads(self.spark.read.schema("value string").text(f"{self.path}/{name}/versions/{number:08d}").first()[0])
+
+    def _rows(self, name: str, listed: dict, buckets: set[int] | None = None) -> DataFrame:
+        schema = T.StructType.fromJson(listed["schema"])
+        folders = [f for b, f in listed["folders"].items() if buckets is None or int(b) in buckets]
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*[f"{self.path}/{name}/{f}" for f in folders])
 
     def read(self, name: str) -> DataFrame | None:
-        current = self.version(name)
-        return None if current is None else self.spark.read.parquet(f"{self.path}/{name}/{current}")
+        listed = self._listed(name)
+        return None if listed is None else self._rows(name, listed)
+
+    def _next(self, name: str) -> int:
+        """A number that no version, whole or broken off, has."""
+        return 1 + max([0, *self._numbers(f"{self.path}/{name}/data", False), *self._numbers(f"{self.path}/{name}/versions", False)])
+
+    def _publish(self, name: str, number: int, schema: T.StructType, keys: list[str], folders: dict[int, str]) -> DataFrame:
+        listed = {"schema": schema.jsonValue(), "keys": keys, "folders": {str(b): f for b, f in folders.items()}}
+        self.spark.createDataFrame([(json.dumps(listed),)], "value string").coalesce(1).write.text(f"{self.path}/{name}/versions/{number:08d}")
+        return self._rows(name, listed)
 
     def replace(self, name: str, rows: DataFrame) -> DataFrame:
         """Writes a new version and makes it the current one."""
-        own = f"v-{uuid.uuid4().hex}"
-        rows.write.parquet(f"{self.path}/{name}/{own}")
-        where, fs = self._pointer(name)
-        draft = self._fs.Path(f"{self.path}/{name}/_draft-{own}")
-        stream = fs.create(draft, True)
-        stream.write(bytearray(own.encode()))
-        stream.close()
-        fs.delete(where, False)
-        fs.rename(draft, where)
-        return self.spark.read.parquet(f"{self.path}/{name}/{own}")
+        number = self._next(name)
+        rows.write.parquet(f"{self.path}/{name}/data/{number:08d}")
+        return self._publish(name, number, rows.schema, [], {-1: f"data/{number:08d}"})
 
     def merge(self, name: str, updates: DataFrame, keys: list[str], order: str | None = None, rules: dict[str, str] | None = None) -> DataFrame:
-        """Upsert: see merged()."""
-        return self.replace(name, merged(self.read(name), updates, keys, order, rules))
+        """Upsert: see merged(). Only the buckets that updates fall into are read and written."""
+        bucket = F.pmod(F.xxhash64(*keys), F.lit(self.buckets)).cast("int")
+        listed = self._listed(name)
+        folders: dict[int, str] = {}
+        if listed is None:
+            out = merged(None, updates, keys, order, rules)
+        elif listed["keys"] != [*keys, self.buckets]:  # written whole, or by other keys
+            out = merged(self._rows(name, listed), updates, keys, order, rules)
+        else:
+            folders = {int(b): f for b, f in listed["folders"].items()}
+            touched = {r[0] for r in updates.select(bucket).distinct().collect()}
+            out = merged(self._rows(name, listed, touched), updates, keys, order, rules)
+            folders = {b: f for b, f in folders.items() if b not in touched}
+        number = self._next(name)
+        place = f"data/{number:08d}"
+        out.withColumn("__bucket", bucket).hint("rebalance", "__bucket").write.partitionBy("__bucket").parquet(f"{self.path}/{name}/{place}")
+        where = self._fs.Path(f"{self.path}/{name}/{place}")
+        found = [s.getPath().getName() for s in where.getFileSystem(self._conf).listStatus(where)]
+        folders |= {int(n.partition("=")[2]): f"{place}/{n}" for n in found if n.startswith("__bucket=")}
+        return self._publish(name, number, out.schema, [*keys, self.buckets], folders)
 
 
 def latest(updates: DataFrame, keys: list[str], order: str | None) -> DataFrame:
@@ -104,6 +142,37 @@ def topic_tree(topics: DataFrame, records: DataFrame) -> DataFrame:
     return topics.join(counts, "topic_id", "left").select("topic_id", "name", "parent_id", F.coalesce("n", F.lit(0).cast("long")).alias("n")).orderBy(F.col("parent_id").isNotNull(), "name")
 
 
+def documents_by_status(documents: DataFrame, status: str | None = None) -> DataFrame:
+    """In order of arrival."""
+    return (documents if status is None else documents.filter(F.col("status") == status)).orderBy("added_at", "doc_id")
+
+
+def with_status(documents: DataFrame, changed: DataFrame) -> DataFrame:
+    """documents with the status and error of those in `changed` (doc_id, status, error, updated_at)."""
+    return merged(documents, changed.select("doc_id", "status", F.substring("error", 1, ERROR_CHARS).alias("error"), "updated_at"), ["doc_id"])
+
+
+def record_of(records: DataFrame, record_id: str) -> DataFrame:
+    """The record of an id: one row or none."""
+    return records.filter(F.col("record_id") == record_id)
+
+
+def records_in_order(records: DataFrame, record_type: str | None = None) -> DataFrame:
+    return (records if record_type is None else records.filter(F.col("record_type") == record_type)).orderBy("record_id")
+
+
+def record_rows(records: DataFrame) -> DataFrame:
+    """The rows of the library's record table beside the record itself: title, topic ids, flags and search text."""
+    own = {"title": record_title(), "topic_id": F.col("topic.id"), "subtopic_id": F.col("subtopic.id"), "needs_review": F.coalesce(F.col("status") == "HUMAN_REVIEW", F.lit(False)), "search_text": search_text()}
+    return records.withColumns(own)
+
+
+def evidence_rows(records: DataFrame) -> DataFrame:
+    """record_id, evidence_id, doc_id, page_start, page_end."""
+    own = records.select("record_id", F.explode("evidence").alias("e"))
+    return own.select("record_id", F.col("e.id").alias("evidence_id"), "e.doc_id", F.array_min("e.pages").alias("page_start"), F.array_max("e.pages").alias("page_end"))
+
+
 def counts(rows: DataFrame, column: str) -> DataFrame:
     return rows.groupBy(column).agg(F.count("*").alias("n"))
 
@@ -125,11 +194,13 @@ def search_text() -> Column:
 
 
 def review_rows(checked: DataFrame) -> DataFrame:
-    """review_id, record_id, record_type, doc_id, section_id, reasons, status of the records that a person has to see."""
+    """review_id, record_id, record_type, title, doc_id, section_id, reasons, status and data (the record as JSON) of the records that a person has to
+    see. Merged into the queue by review_id, a record that comes again is pending again, with its new reasons and data."""
     from ..functions.ids import make_id
 
     own = checked.filter("status = 'HUMAN_REVIEW'")
-    return own.select(make_id("rev", F.col("record_id"), F.col("section_id")).alias("review_id"), "record_id", "record_type", "doc_id", "section_id", F.col("review_reasons").alias("reasons"), F.lit("pending").alias("status"))
+    record = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
+    return own.select(make_id("rev", F.col("record_id"), F.col("section_id")).alias("review_id"), "record_id", "record_type", record_title().alias("title"), "doc_id", "section_id", F.col("review_reasons").alias("reasons"), F.lit("pending").alias("status"), record.alias("data"))
 
 
 def reviews(queue: DataFrame, status: str = "pending", order: str = "created_at") -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.ids import make_id
 from ..functions.similarity import token_set_ratio
+from .library import Library, evidence_rows, record_rows
 from .records import record_id
 from .terms import normalise, term_key
 
@@ -48,29 +49,55 @@ def merged_statements(statements: DataFrame, order: tuple[str, ...] = ("seq", "p
     return statements.groupBy("record_id", "field").applyInPandas(fold, MERGED)
 
 
+#: Columns of checked records that a merged record keeps from its first occurrence.
+FIRST_COLUMNS = ("status", "similarity", "errors", "warnings", "copied", "section_id", "doc_id", "section_index", "ord", "key", "prompt_version", "created_at")
+
+
+def merged_citations(lists: Column) -> Column:
+    """Citations of the occurrences in order (an array of texts) as one text; one that stands in what is there already isn't added."""
+    whole = F.aggregate(lists, F.lit(""), lambda done, c: F.when(F.contains(done, c), done).when(done == "", c).otherwise(F.concat(done, F.lit("; "), c)))
+    return F.when(whole != "", whole)
+
+
 def merged_records(records: DataFrame) -> DataFrame:
-    """Records of one id, folded in order of doc_id, section_index and ord: the first keeps its type, topic and status; blanks are filled from
-    later ones, lists grow by what is new, citations are joined, flags are or-ed."""
+    """Records of one id, folded in order of doc_id, section_index and ord: the first keeps its type, topic, status, validation and provenance
+    (FIRST_COLUMNS, where the table has them); blanks are filled from later ones, lists grow by what is new, evidence by what has a new id, citations
+    are joined, flags are or-ed, reasons are put together. Records of one id with different types are an error: ids are made of types."""
     order = ["doc_id", "section_index", "ord"]
     w = Window.partitionBy("record_id").orderBy(*order)
     own = records.withColumn("seq", F.row_number().over(w))
     statements = merged_statements(own.select("record_id", "seq", F.posexplode("statements").alias("pos", "s")).select("record_id", "seq", "pos", "s.*"))
     lists = statements.groupBy("record_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("field", "pos", "text", "basis", "evidence"))), lambda s: F.struct(s["field"].alias("field"), s["text"].alias("text"), s["basis"].alias("basis"), s["evidence"].alias("evidence"))).alias("statements"))
 
-    def ordered(column: str, item: str = "x") -> Column:
+    def ordered(column: str) -> Column:
         """All entries of an array column, those of the first record first."""
-        return F.flatten(F.transform(F.array_sort(F.collect_list(F.when(F.col(column).isNotNull(), F.struct("seq", F.col(column).alias(item))))), lambda s: s[item]))
+        return F.flatten(F.transform(F.array_sort(F.collect_list(F.when(F.col(column).isNotNull(), F.struct("seq", F.col(column).alias("x"))))), lambda s: s["x"]))
 
     first = lambda c: F.min_by(F.col(c), F.when(F.col(c).isNotNull(), F.col("seq")))
     filled = lambda c: F.min_by(F.col(c), F.when(F.coalesce(F.col(c), F.lit("")) != "", F.col("seq")))
-    cited = F.array_distinct(F.flatten(F.transform(F.array_sort(F.collect_list(F.when(F.col("citation").isNotNull(), F.struct("seq", F.split("citation", "; ").alias("c"))))), lambda s: s["c"])))
+    cited = F.transform(F.array_sort(F.collect_list(F.when(F.coalesce("citation", F.lit("")) != "", F.struct("seq", "citation")))), lambda s: s["citation"])
+    every = ordered("evidence")
+    evidence = F.filter(every, lambda e, i: F.array_position(F.transform(every, lambda x: x["id"]), e["id"]) == i + 1)
+    kept = [F.min_by(c, "seq").alias(c) for c in FIRST_COLUMNS if c in records.columns]
+    kept += [F.array_distinct(ordered("review_reasons")).alias("review_reasons")] if "review_reasons" in records.columns else []
+    kept += [F.max("low_ocr").alias("low_ocr")] if "low_ocr" in records.columns else []
     out = own.groupBy("record_id").agg(
-        F.min_by("record_type", "seq").alias("record_type"), F.min_by("name", "seq").alias("name"), filled("case_name").alias("case_name"), F.array_join(cited, "; ").alias("citation"), filled("court").alias("court"), first("date").alias("date"),
+        F.min_by("record_type", "seq").alias("record_type"), F.countDistinct("record_type").alias("__types"), F.min_by("name", "seq").alias("name"), filled("case_name").alias("case_name"), merged_citations(cited).alias("citation"), filled("court").alias("court"), first("date").alias("date"),
         F.array_distinct(ordered("parties")).alias("parties"), F.array_distinct(ordered("laws")).alias("laws"), ordered("comparison").alias("comparison"), F.array_distinct(ordered("subjects")).alias("subjects"), F.array_distinct(ordered("dimensions")).alias("dimensions"),
-        F.array_distinct(ordered("concept_illustrated")).alias("concept_illustrated"), F.array_distinct(ordered("related")).alias("related"), F.array_distinct(ordered("evidence")).alias("evidence"), F.struct(first("topic").alias("topic"), F.min_by("subtopic", F.when(F.col("topic").isNotNull(), F.col("seq"))).alias("subtopic")).alias("__t"),
-        F.max("proprietary").alias("proprietary"), F.array_distinct(ordered("reasons")).alias("reasons"), F.count("*").alias("n_merged"),
+        F.array_distinct(ordered("concept_illustrated")).alias("concept_illustrated"), F.array_distinct(ordered("related")).alias("related"), evidence.alias("evidence"), F.struct(first("topic").alias("topic"), F.min_by("subtopic", F.when(F.col("topic").isNotNull(), F.col("seq"))).alias("subtopic")).alias("__t"),
+        F.max("proprietary").alias("proprietary"), F.array_distinct(ordered("reasons")).alias("reasons"), F.array_distinct(ordered("identifiers")).alias("identifiers"), F.count("*").alias("n_merged"), *kept,
     )
-    return out.join(lists, "record_id", "left").select("*", "__t.topic", "__t.subtopic").drop("__t")
+    clash = F.raise_error(F.concat(F.lit("records of different types have the id "), "record_id"))
+    out = out.withColumn("record_type", F.when(F.col("__types") == 1, F.col("record_type")).otherwise(clash.cast("string"))).drop("__types")
+    return out.join(lists, "record_id", "left").select("*", "__t.topic", "__t.subtopic").drop("__t").withColumn("statements", F.coalesce("statements", F.expr("cast(array() as array<struct<field:string,text:string,basis:string,evidence:array<string>>>)")))
+
+
+def with_entities(records: DataFrame) -> DataFrame:
+    """records whose laws name their entity: entity_id is the provision's where there is one, else the statute's."""
+    whole = lambda x: F.trim(F.concat_ws(" ", x["provision"], x["statute"]))
+    some = lambda v: F.coalesce(v, F.lit("")) != ""
+    target = lambda x: F.when(some(x["provision"]), entity_id(F.lit("PROVISION"), whole(x))).when(some(x["statute"]), entity_id(F.lit("STATUTE"), x["statute"]))
+    return records.withColumn("laws", F.transform("laws", lambda x: x.withField("entity_id", target(x))))
 
 
 def entity_mentions(records: DataFrame) -> DataFrame:
@@ -101,7 +128,7 @@ def entities(mentions: DataFrame, order: tuple[str, ...] = ("doc_id", "section_i
 
 
 def relations(records: DataFrame) -> DataFrame:
-    """from_id, relation, to_id, basis: all edges that the records give, one for each (from, relation, to)."""
+    """from_id, relation, to_id, basis: all edges that the records give, one for each (from, relation, to); of several bases the last by name."""
     edge = lambda rows, a, r, b, basis=F.lit("source"): rows.select(a.alias("from_id"), r.alias("relation"), b.alias("to_id"), basis.alias("basis"))
     me, part = F.col("record_id"), F.lit("part_of")
     laws = records.filter("laws is not null").select("record_id", "record_type", F.explode("laws").alias("law")).select("record_id", "record_type", "law.*")
@@ -119,7 +146,8 @@ def relations(records: DataFrame) -> DataFrame:
         edge(illustrated, me, F.lit("illustrates"), record_id(F.lit("CONCEPT"), F.col("name"))),
     ):
         out = out.unionByName(more)
-    return out.filter("to_id is not null and from_id <> to_id").dropDuplicates(["from_id", "relation", "to_id"])
+    out = out.filter("to_id is not null and from_id <> to_id")
+    return out.groupBy("from_id", "relation", "to_id").agg(F.max("basis").alias("basis"))
 
 
 def last_write(edges: DataFrame, order: str) -> DataFrame:
@@ -139,3 +167,26 @@ def topics_of(records: DataFrame) -> DataFrame:
     subs = records.filter("subtopic is not null").select(*own, F.col("subtopic.id").alias("topic_id"), F.col("subtopic.name").alias("name"), F.col("topic.id").alias("parent_id"))
     seq = F.struct(*own)
     return tops.unionByName(subs).groupBy("topic_id").agg(F.max_by("name", seq).alias("name"), F.min_by("parent_id", seq).alias("parent_id"))
+
+
+def store_records(library: Library, checked: DataFrame) -> DataFrame:
+    """Puts checked records into the library with all that hangs on them: occurrences are kept, the records that they belong to are folded again in
+    their fixed order, and records, evidence, entities, topics and relations are merged. Only touched records are folded and only touched buckets
+    written, so that a batch that is stored twice gives the same tables. The folded records."""
+    held = library.merge("occurrences", checked, ["record_id", "doc_id", "section_index", "ord"])
+    touched = checked.select("record_id").distinct()
+    folded = library.replace("folded", with_entities(merged_records(held.join(touched, "record_id", "left_semi"))))  # written once, read by all below
+    library.merge("records", record_rows(folded), ["record_id"])
+    library.merge("evidence", evidence_rows(folded), ["record_id", "evidence_id"])
+    mentions = library.merge("mentions", entity_mentions(held.join(touched, "record_id", "left_semi")), ["record_id", "entity_id", "alias", "doc_id", "section_index", "ord"])
+    named = entity_mentions(folded_order(folded)).select("entity_id").distinct()
+    library.merge("entities", entities(mentions.join(named, "entity_id", "left_semi")), ["entity_id"])
+    library.merge("topics", topics_of(folded_order(folded)), ["topic_id"], rules={"parent_id": "fill"})
+    library.merge("relations", relations(folded), ["from_id", "relation", "to_id"])
+    return folded
+
+
+def folded_order(folded: DataFrame) -> DataFrame:
+    """Folded records with the order columns of their first occurrence, also where the table has none."""
+    missing = {c: F.lit(None).cast(t) for c, t in (("doc_id", "string"), ("section_index", "int"), ("ord", "int")) if c not in folded.columns}
+    return folded.withColumns(missing) if missing else folded

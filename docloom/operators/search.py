@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import unicodedata
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -194,6 +195,20 @@ def unit(vector: list[float]) -> list[float]:
     return [x / norm for x in vector]
 
 
+def embedded(texts: DataFrame, key: str, text: str, embed: Callable[[list[str]], list[list[float]]], batch: int = 64) -> DataFrame:
+    """key, text_hash and the unit vector of each text, by a function that the caller brings."""
+
+    def run(frames):
+        for frame in frames:
+            for at in range(0, len(frame), batch):
+                part = frame.iloc[at : at + batch]
+                vectors = [unit(v) for v in embed(part[text].fillna("").tolist())]
+                yield pd.DataFrame({key: part[key].to_numpy(), "text_hash": part["text_hash"].to_numpy(), "vector": vectors})
+
+    own = texts.select(key, text, F.sha2(F.col(text).cast("binary"), 256).alias("text_hash"))
+    return own.mapInPandas(run, f"{key} {texts.schema[key].dataType.simpleString()}, text_hash string, vector array<double>")
+
+
 def stale(records: DataFrame, stored: DataFrame, key: str = "record_id", text: str = "search_text") -> DataFrame:
     """Records whose vector is missing or was made from another text: stored has the key and text_hash."""
     own = records.withColumn("text_hash", F.sha2(F.col(text).cast("binary"), 256))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.ids import content_id
-from ..functions.text import usable_tables
+from ..functions.text import needs_ocr, usable_tables
 
 LINE = "array<struct<text:string,size:double,bold:boolean,y:double>>"
 PAGE = f"doc_id string, page int, text string, is_ocr boolean, lines {LINE}, tables array<array<array<string>>>, image_share double"
@@ -39,6 +39,67 @@ def read_json_lines(spark: SparkSession, path: str, schema: str | T.StructType)
     return spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
 
 
+class UnreadableFile(ValueError):
+    """For parsers to raise: kind is "corrupt", "encrypted" or "empty"."""
+
+    def __init__(self, kind: str, message: str = ""):
+        super().__init__(f"{kind}: {message}" if message else kind)
+
+
+def lines_of_spans(spans: DataFrame) -> DataFrame:
+    """spans: doc_id, page, line_idx, span_idx, text, size, font, flags, top, page_height. Lines as page_lines gives them: the spans' text joined, the
+    largest size of a span that isn't blank, bold where all of these are (by flag 16 or the font's name), and the line's place on the page."""
+    full = F.trim("text") != ""
+    bold = (F.col("flags").bitwiseAND(F.lit(16)) != 0) | F.contains(F.lower("font"), F.lit("bold"))
+    text = F.trim(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("span_idx", "text"))), lambda x: x["text"]), ""))
+    own = spans.groupBy("doc_id", "page", "line_idx").agg(
+        text.alias("text"), F.bround(F.max(F.when(full, F.col("size"))), 1).alias("size"), F.min(F.when(full, bold)).alias("bold"), F.bround(F.min(F.col("top") / F.col("page_height")), 3).alias("y")
+    )
+    return own.filter("size is not null")
+
+
+def read_scans(pages: DataFrame, reader: Callable[[bytes], str], min_chars: int = 50, min_share: float = 0.3) -> DataFrame:
+    """pages whose text is read from their image (a column `image`, where a parser gives one) if they have hardly any and an image covers them. reader may
+    raise; such a page stays as it is and is marked in ocr_failed."""
+    if "image" not in pages.columns:
+        return pages
+    wanted = needs_ocr(F.col("text"), F.col("image_share"), min_chars, min_share) & F.col("image").isNotNull()
+    schema = T.StructType([f for f in pages.schema.fields if f.name != "image"] + [T.StructField("ocr_failed", T.BooleanType())])
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            read, failed = [], []
+            for image in frame["image"]:
+                try:
+                    read.append(reader(bytes(image)))
+                except Exception:  # noqa: BLE001  a page that can't be read is that page's fault
+                    read.append(None)
+                failed.append(read[-1] is None)
+            yield frame.assign(text=[t if r is None else r for t, r in zip(frame["text"], read, strict=True)], is_ocr=[not f for f in failed], ocr_failed=failed)[schema.names]
+
+    scans = pages.filter(wanted).mapInPandas(run, schema)
+    return scans.unionByName(pages.filter(~F.coalesce(wanted, F.lit(False))).drop("image").withColumn("ocr_failed", F.lit(False)))
+
+
+def quarantine(bad: DataFrame, folder: str) -> int:
+    """Moves unreadable files (path, filename, error) out of the inbox, each with a note of its error beside it; copies those that can't be moved. For the
+    few files of a run, one at a time on the driver, through Hadoop's file systems. Number of files."""
+    sc = bad.sparkSession.sparkContext
+    fs, conf, n = sc._jvm.org.apache.hadoop.fs, sc._jsc.hadoopConfiguration(), 0
+    for n, row in enumerate(bad.select("path", "filename", "error").toLocalIterator(), 1):
+        source, target = fs.Path(row.path), fs.Path(f"{folder}/{row.filename}")
+        here, there = source.getFileSystem(conf), target.getFileSystem(conf)
+        there.mkdirs(target.getParent())
+        note = row.error
+        if not fs.FileUtil.copy(here, source, there, target, True, conf):
+            fs.FileUtil.copy(here, source, there, target, False, conf)
+            note += "\n(the original couldn't be moved out of the inbox)"
+        stream = there.create(fs.Path(f"{folder}/{row.filename}.error.txt"), True)
+        stream.write(bytearray(note.encode()))
+        stream.close()
+    return n
+
+
 def parse_documents(files: DataFrame, parser: Callable[[bytes], list[dict]]) -> tuple[DataFrame, DataFrame]:
     """(pages, quarantined). parser turns a file's bytes into page dicts (text, lines, tables, image_share) and may raise: the error becomes
     a quarantine row (path, filename, error), never a failed task."""

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.library import Library
-from ..operators.link import merged_records
+from ..operators.link import store_records
 
 
 def incoming_files(spark: SparkSession, path: str, suffix: str = ".pdf") -> DataFrame:
@@ -29,14 +29,12 @@ def merge_stream(stream: DataFrame, library: Library, name: str, keys: list[str]
     return stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def merge_records_stream(stream: DataFrame, library: Library, name: str, checkpoint: str) -> StreamingQuery:
-    """Keeps all occurrences of records as they arrive (one row for each record, document and section) and folds them again in their fixed order:
-    the result doesn't depend on the order of arrival."""
+def merge_records_stream(stream: DataFrame, library: Library, checkpoint: str) -> StreamingQuery:
+    """Stores records as they arrive: all occurrences are kept (one row for each record, document and section), and the touched records are folded again
+    in their fixed order, so that the result doesn't depend on the order of arrival."""
 
     def run(batch: DataFrame, _: int) -> None:
-        if batch.isEmpty():
-            return
-        held = library.merge(f"{name}_occurrences", batch, ["record_id", "doc_id", "section_index", "ord"])
-        library.replace(name, merged_records(held))
+        if not batch.isEmpty():
+            store_records(library, batch)
 
     return stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
