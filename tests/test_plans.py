@@ -20,7 +20,7 @@ def duck():
 
 def rows(table):
     own = table[sorted(table.columns)].astype(object)
-    return sorted(tuple(None if pd.isna(v) else str(v.date()) if hasattr(v, "date") else str(v) if not isinstance(v, (int, float, bool)) else round(float(v), 6) for v in r) for r in own.itertuples(index=False))
+    return list(tuple(None if pd.isna(v) else str(v.date()) if hasattr(v, "date") else str(v) if not isinstance(v, (int, float, bool)) else round(float(v), 6) for v in r) for r in own.itertuples(index=False))
 
 
 def names():
