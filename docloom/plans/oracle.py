@@ -52,6 +52,19 @@ long AS (SELECT section_id, k, i, s FROM (SELECT section_id, skip_reason, unnest
 typed AS (SELECT section_id, string_agg(k, ',' ORDER BY s DESC, i) AS types, max_by(k, s * 10 - i) AS first_type FROM long GROUP BY 1)"""
 
 
+def _id(prefix: str, *parts: str) -> str:
+    return f"concat('{prefix}_', substr(sha256(concat_ws('|', {', '.join(parts)})), 1, 16))"
+
+
+_LOOSE = lambda x: rf"regexp_replace(lower({x}), '[^\p{{L}}\p{{N}}§]+', '', 'g')"
+#: One record for each legal section: items and answers as plans.queries.extracted writes them.
+_NAMED = f"CASE kind WHEN 'CASE' THEN concat('CASE:acmev', {_LOOSE('nat')}) WHEN 'CONCEPT' THEN concat('CONCEPT:', {_LOOSE('levy')}) WHEN 'RULE' THEN concat('RULE:', {_LOOSE('levy')}) ELSE concat(kind, ':', doc_id, ':', section_id, ':i1') END"
+_BUILT = f"""{_LEGAL}, own AS (SELECT *, ['CASE', 'CONCEPT', 'RULE', 'EXAMPLE', 'COMPARISON'][num % 5 + 1] AS kind, CAST(num % 90 + 1 AS INT) AS page, concat(seg, ' levy') AS levy FROM legal),
+built AS (SELECT *, {_id('rec', _NAMED)} AS record_id,
+  CASE kind WHEN 'CASE' THEN concat('Acme v. ', nat) END AS case_name, {_id('top', 'lower(nat)')} AS topic_id, {_id('sub', 'lower(nat)', 'lower(seg)')} AS subtopic_id,
+  CASE WHEN num % 31 = 0 AND kind = 'CASE' THEN concat('case_name not found in source: ', chr(39), 'Acme v. ', nat, chr(39)) WHEN num % 31 = 0 AND kind = 'RULE' THEN concat('provision not found in source: ', chr(39), 'Section ', num, 'F', chr(39)) ELSE '' END AS fault FROM own)"""
+
+
 def oracle_sql() -> dict[str, str]:
     stop = ", ".join(f"'{w}'" for w in sorted(STOPWORDS))
     return {
@@ -80,7 +93,6 @@ SELECT conv_id, turn, CASE WHEN len(k) >= 2 THEN array_to_string(k, ' ') ELSE te
 normal AS (SELECT t.kind AS kind, t.value AS value, CASE t.kind WHEN 'provision' THEN concat('Section ', replace(replace(t.value, 'S. ', ''), '-F', 'F')) ELSE trim(replace(replace(t.value, '  ', ' '), ' vs. ', ' v. '), ' ,;:') END AS normal FROM names)
 SELECT *, regexp_replace(regexp_replace(replace(replace(replace(lower(normal), 'limited', 'ltd'), 'company', 'co'), 'private', 'pvt'), '^the\s+', ''), '[^\p{L}\p{N}§]+', '', 'g') AS term_key FROM normal""",
         "body_size": f"WITH {_LINES} SELECT doc_id, CAST(size AS INT) AS body FROM (SELECT doc_id, size, row_number() OVER (PARTITION BY doc_id ORDER BY sum(length(text)) DESC, min(page * 40 + line_idx)) AS r FROM lines GROUP BY doc_id, size) WHERE r = 1",
-        "style_levels": "SELECT p_partkey, CAST(least(dense_rank() OVER (PARTITION BY p_brand ORDER BY p_size DESC, p_type), 3) AS INT) AS level FROM part",
         "normalised_levels": f"WITH {_LEVELS} SELECT doc_id, n, level FROM levels",
         "parent_heading": f"WITH {_LEVELS} SELECT a.doc_id, a.n, a.level, max(b.n) AS parent_n FROM levels a LEFT JOIN levels b ON a.doc_id = b.doc_id AND b.i < a.i AND b.level < a.level GROUP BY ALL",
         "topic_paths": f"""WITH {_LEVELS}, ups AS (SELECT *, {', '.join(f'last_value(CASE WHEN level = {k} THEN title END IGNORE NULLS) OVER w AS t{k}' for k in range(1, 5))} FROM levels WINDOW w AS (PARTITION BY doc_id ORDER BY i))
@@ -106,7 +118,6 @@ SELECT o_custkey, min(s) AS start_day, max(e) AS end_day, count(*) AS parts FROM
 SELECT entity_id, min_by(a, seq) AS canonical, CAST(count(*) AS INT) AS n_aliases, string_agg(a, ', ' ORDER BY seq) AS aliases FROM first GROUP BY 1""",
         "relation_dedupe": f"WITH {_EDGES} SELECT * FROM last",
         "relations_of": f"WITH {_EDGES} SELECT * FROM last WHERE from_id = 's7' OR to_id = 's7'",
-        "evidence_integrity": "SELECT l_returnflag, count(*) AS n FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P') GROUP BY 1",
         "pages_outside_section": "SELECT l_orderkey, concat('evidence e', l_orderkey, ' cites pages outside 1-5') AS error FROM lineitem GROUP BY l_orderkey HAVING max(l_linenumber) > 5 OR min(l_linenumber) < 1",
         "identifier_support": rf"WITH {_LEGAL} SELECT section_id, contains(l, regexp_replace(lower(nat), '[^\p{{L}}\p{{N}}§]+', '', 'g')) AS has_nation, contains(l, concat(lower(seg), 'levy')) AS has_levy FROM (SELECT *, regexp_replace(lower(text), '[^\p{{L}}\p{{N}}§]+', '', 'g') AS l FROM legal)",
         "verdicts": """WITH c AS (SELECT l_discount < 0.1 AND l_tax < 0.08 AND l_quantity > 1 AS sound, l_returnflag <> 'R' AS copy_ok, l_linenumber = 7 AS flagged FROM lineitem)
@@ -136,4 +147,56 @@ SELECT n, tokens, {', '.join(f"round(((tokens + 2500 * n) * 2e0 + tokens * {s}e0
         "export_sources": """WITH spans AS (SELECT l_orderkey AS record_id, l_partkey AS doc, min(l_linenumber) AS a, max(l_linenumber) AS b FROM lineitem GROUP BY 1, 2),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY record_id ORDER BY a, doc) AS r, count(*) OVER (PARTITION BY record_id) AS n FROM spans)
 SELECT record_id, doc AS first_doc, coalesce(p_name, '') AS first_file, a AS page_start, b AS page_end, CAST(n - 1 AS INT) AS n_more FROM ranked LEFT JOIN part ON doc = p_partkey WHERE r = 1""",
+        "legal_terms": f"""WITH {_LEGAL}, long AS (SELECT * FROM legal WHERE num % 31 <> 0),
+found AS (SELECT section_id, 'case_name' AS kind, concat('Acme v. ', nat) AS value, 3 AS place FROM long WHERE num % 5 = 0 UNION ALL SELECT section_id, 'date', '12 March 1999', strpos(text, '12 March 1999') - 1 FROM long WHERE num % 5 = 0
+  UNION ALL SELECT section_id, 'defined_term', concat(lower(seg), ' levy'), 1 FROM long WHERE num % 5 = 1
+  UNION ALL SELECT section_id, 'provision', concat('Section ', num, 'F'), 6 FROM long WHERE num % 5 = 2 UNION ALL SELECT section_id, 'provision', 'Rule 7', strpos(text, 'Rule 7') - 1 FROM long WHERE num % 5 = 2)
+SELECT section_id, kind, value, CAST(place AS INT) AS "start", CAST(place + length(value) AS INT) AS "end" FROM found""",
+        "protected_terms": f"""WITH {_LEGAL}, long AS (SELECT * FROM legal WHERE num % 31 <> 0),
+found AS (SELECT section_id, 'case_name' AS kind, concat('Acme v. ', nat) AS display FROM long WHERE num % 5 = 0 UNION ALL SELECT section_id, 'date', '12 March 1999' FROM long WHERE num % 5 = 0
+  UNION ALL SELECT section_id, 'defined_term', concat(lower(seg), ' levy') FROM long WHERE num % 5 = 1 UNION ALL SELECT section_id, 'provision', concat('Section ', num, 'F') FROM long WHERE num % 5 = 2 UNION ALL SELECT section_id, 'provision', 'Rule 7' FROM long WHERE num % 5 = 2)
+SELECT section_id, kind, {_LOOSE('display')} AS term_key, count(*) AS mentions, min(display) AS display FROM found GROUP BY 1, 2, 3""",
+        "heading_texts": r"""WITH own AS (SELECT p_partkey, p_partkey % 5 AS k, p_partkey AS n, p_type, concat(CASE p_partkey % 5 WHEN 0 THEN concat(p_partkey % 9 + 1, ' ') WHEN 1 THEN concat(p_partkey % 9 + 1, '.', p_partkey % 5 + 1, ' ') WHEN 2 THEN concat('Chapter ', p_partkey % 20 + 1, ': ') WHEN 3 THEN '(a) ' ELSE '' END, p_type, CASE WHEN p_partkey % 7 = 0 THEN ',' ELSE '' END) AS title FROM part)
+SELECT p_partkey, concat(CASE k WHEN 0 THEN concat(n % 9 + 1, ' ') WHEN 1 THEN concat(n % 5 + 1, ' ') ELSE '' END, lower(p_type), CASE WHEN n % 7 = 0 THEN ',' ELSE '' END) AS bare, CAST(CASE k WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN 1 END AS INT) AS depth, n % 7 <> 0 AS heading,
+  k <> 2 AND k <> 3 AND length(regexp_replace(title, '\P{L}', '', 'g')) >= 4 AND NOT regexp_matches(title, '\p{Ll}') AS caps FROM own""",
+        "bookmark_headings": "SELECT p_brand AS doc_id, p_partkey AS page, CAST(least(p_size % 5, 3) AS INT) AS level, p_name AS title, CAST(CASE WHEN p_size % 2 = 0 THEN 2 ELSE 0 END AS INT) AS line_idx FROM part WHERE p_partkey >= 1",
+        "built_records": f"""WITH {_BUILT} SELECT record_id, kind AS record_type, section_id, case_name, CAST(CASE kind WHEN 'COMPARISON' THEN 1 ELSE 2 END AS INT) AS n_statements, 2 AS n_evidence, topic_id, subtopic_id FROM built""",
+        "validated_records": f"WITH {_BUILT} SELECT record_id, section_id, CASE WHEN fault = '' THEN 'PASS' ELSE 'HUMAN_REVIEW' END AS status, fault AS reasons, CAST(0 AS DOUBLE) AS similarity FROM built",
+        "statements_check": f"WITH {_LEGAL} SELECT section_id, '' AS errors FROM legal",
+        "merged_records": f"""WITH {_BUILT} SELECT record_id, min(kind) AS record_type, count(*) AS n_merged, CAST(CASE min(kind) WHEN 'CASE' THEN 1 + count(DISTINCT seg) WHEN 'COMPARISON' THEN 1 ELSE 2 END AS INT) AS n_statements, CAST(2 * count(*) AS INT) AS n_evidence FROM built GROUP BY record_id""",
+        "record_relations": f"""WITH {_BUILT}, edges AS (SELECT record_id AS from_id, 'part_of' AS relation, subtopic_id AS to_id FROM built UNION ALL SELECT subtopic_id, 'part_of', topic_id FROM built
+  UNION ALL SELECT record_id, 'defines', {_id('ent', "'PROVISION'", "concat('section', num, 'f')")} FROM built WHERE kind = 'RULE' UNION ALL SELECT record_id, 'illustrates', {_id('rec', f"concat('CONCEPT:', {_LOOSE('levy')})")} FROM built WHERE kind = 'EXAMPLE')
+SELECT DISTINCT from_id, relation, to_id, 'source' AS basis FROM edges""",
+        "broken_evidence": f"""WITH {_BUILT} SELECT record_id, section_id, 1 AS pos, concat(section_id, ':f2') AS evidence FROM built WHERE num % 7 = 0 AND kind IN ('CASE', 'CONCEPT', 'RULE')""",
+        "export_overview": f"""WITH {_BUILT} SELECT record_id, kind AS type, CASE kind WHEN 'CASE' THEN case_name ELSE levy END AS title, nat AS topic, seg AS subtopic, doc_id AS documents, CAST(page AS VARCHAR) AS pages, false AS proprietary, kind = 'RULE' AS needs_review FROM built""",
+        "merged_knowledge": f"""WITH {_BUILT} SELECT record_id, min(kind) AS content_type, 'PASS' AS status, CAST(count(DISTINCT doc_id) AS INT) AS n_sources FROM built GROUP BY record_id""",
+        "knowledge_export": f"""WITH {_BUILT}, texts AS (SELECT *, concat('"Claims fail in ', nat, '"') AS a, concat('"A charge that ', seg, ' firms pay"') AS b FROM built),
+json AS (SELECT *, CASE kind WHEN 'CASE' THEN concat('{{"case_name":"', case_name, '","citation":"","court":"","year":"12 M","parties":[],"material_facts":[],"legal_issue":[],"relevant_law":[],"decision":"","legal_principles":[', a, ',', b, '],"important_factors":[]}}')
+  WHEN 'CONCEPT' THEN concat('{{"concept_name":"', levy, '","definition":', b, ',"key_points":[', a, '],"important_factors":[]}}')
+  WHEN 'RULE' THEN concat('{{"rule_name":"', levy, '","relevant_provision":["Section ', num, 'F"],"requirements":[', a, ',', b, '],"conditions":[],"exceptions":[],"quoted_provision":""}}')
+  WHEN 'EXAMPLE' THEN concat('{{"scenario":"', levy, '","concept_illustrated":["', levy, '"],"important_facts":[', a, '],"result":""}}')
+  ELSE concat('{{"title":"', levy, '","compared":["Early","(unspecified)"],"aspects":["pay"],"comparison":[{{"subject":"Early","aspect":"pay","value":"none"}}],"key_differences":[', a, ']}}') END AS knowledge FROM texts),
+files AS (SELECT record_id, doc_id AS document, min(page) AS page_start, row_number() OVER (PARTITION BY record_id ORDER BY doc_id) AS r FROM built GROUP BY 1, 2)
+SELECT record_id, kind AS content_type, CASE kind WHEN 'CASE' THEN case_name ELSE levy END AS title, nat AS topic, seg AS subtopic, knowledge, document, page_start, CASE WHEN fault = '' THEN '' ELSE 'approved by reviewer' END AS reason FROM json JOIN files USING (record_id) WHERE r = 1""",
+        "contents": """WITH own AS (SELECT p_brand AS topic, CASE WHEN p_size % 3 <> 0 THEN p_type END AS subtopic FROM part)
+SELECT topic, NULL AS subtopic, count(*) AS n FROM own GROUP BY 1 UNION ALL SELECT topic, subtopic, count(*) FROM own WHERE subtopic IS NOT NULL GROUP BY 1, 2""",
+        "small_functions": """SELECT p_partkey, trim(regexp_replace(p_name, '\\s+', ' ', 'g')) AS title, concat('f-', p_partkey) AS note, CASE WHEN p_partkey % 2 = 0 THEN 'year' ELSE 'day' END AS precision, concat('[[p. ', p_partkey, ']]') AS marker,
+  concat('| ', p_name, ' |  |', chr(10), '| ', p_brand, ' | ', p_type, ' |') AS "table", round_even(len(list_filter(string_split_regex(p_name, '\\s+'), lambda w: regexp_matches(w, '\\p{L}{2}'))) * 1.0 / (len(string_split_regex(p_name, '\\s+')) + 2), 3) AS quality,
+  p_size > 30 AS scan, CAST(least((p_size + 30) / 64.0, 1) AS DOUBLE) AS images FROM part""",
+        "table_cells": """SELECT table_id, CAST(t.r AS INT) AS r, CAST(t.c AS INT) AS c, t.s AS subject, t.a AS attribute, t.v AS value FROM (SELECT n_nationkey AS table_id, unnest([{'r': 1, 'c': 1, 's': n_name, 'a': 'key', 'v': CAST(n_nationkey AS VARCHAR)}, {'r': 2, 'c': 1, 's': n_name, 'a': 'region', 'v': CAST(n_regionkey AS VARCHAR)}, {'r': 2, 'c': 2, 's': 'All', 'a': 'region', 'v': '9'}]) AS t FROM nation)""",
+        "entity_ids": f"""WITH own AS (SELECT c_custkey, unnest(['CASE', 'STATUTE', 'PROVISION', 'COURT']) AS entity_type, c_name FROM customer)
+SELECT c_custkey, entity_type, {_id('ent', 'entity_type', f"concat(CASE entity_type WHEN 'PROVISION' THEN 'the' ELSE '' END, {_LOOSE('c_name')}, 'act')")} AS entity_id FROM own""",
+        "law_entities": f"WITH {_BUILT} SELECT section_id, concat('Section ', num, 'F') AS provision, {_id('ent', "'PROVISION'", "concat('section', num, 'f')")} AS entity_id FROM built WHERE kind = 'RULE'",
+        "record_topics": f"WITH {_BUILT} SELECT DISTINCT topic_id, nat AS name, NULL AS parent_id FROM built UNION SELECT DISTINCT subtopic_id, seg, topic_id FROM built",
+        "record_counts": f"WITH {_BUILT} SELECT kind AS record_type, count(*) AS n FROM built GROUP BY 1",
+        "record_evidence": f"WITH {_BUILT} SELECT record_id, concat(section_id, ':', f) AS evidence_id, doc_id, page AS page_start, page AS page_end FROM (SELECT *, unnest(['f1', 'f2']) AS f FROM built)",
+        "requests": f"""WITH {_BUILT} SELECT section_id, CAST(length(concat_ws(chr(10), concat('Document section: ', title), concat('Topic path: ', nat, ' > ', seg), concat('Pages: ', page, '-', page + 1), concat('Likely content types (by keywords, may be incomplete): ', seg), 'Identifiers found in this section (to be kept exactly):', '- (none detected)', concat('<section_text>', chr(10), text, chr(10), '</section_text>'))) AS INT) AS n,
+  concat('- [f1] (fact, explicit) claims fail in ', nat, ' - [f2] (fact, explicit) ', seg, ' firms pay a charge') AS notes FROM built""",
+        "stage_cycle": "SELECT CAST(o_custkey AS VARCHAR) AS doc_id, CAST(o_orderkey AS VARCHAR) AS unit_id, CASE WHEN o_orderkey % 5 = 0 THEN 'failed' ELSE 'done' END AS status, CAST(1 + CAST(o_orderkey % 3 = 0 AS INT) AS INT) AS attempts, CASE WHEN o_orderkey % 5 = 0 THEN concat('e', o_orderkey) END AS error, CASE WHEN o_orderkey % 2 = 0 THEN 'out' END AS output_path FROM orders WHERE o_custkey <> 7",
+        "stage_failures": "SELECT CAST(o_custkey AS VARCHAR) AS doc_id, CAST(o_orderkey AS VARCHAR) AS unit_id, concat('e', o_orderkey) AS error FROM orders WHERE o_orderkey % 5 = 0",
+        "documents_by_status": "SELECT doc_id, 'failed' AS status FROM documents WHERE n_chars <= 1000 AND doc_id % 10 <> 0",
+        "phrase_search": """WITH own AS (SELECT conv_id * 1000 + turn AS id, regexp_extract_all(lower(strip_accents(role)), '[\\p{L}\\p{N}]+') AS r, regexp_extract_all(lower(strip_accents(text)), '[\\p{L}\\p{N}]+') AS t FROM conversations),
+each AS (SELECT id, len(r) + len(t) AS length, len(list_filter(list_concat(r, t), lambda x: x = 'user')) AS f1, len(list_filter(range(1, greatest(len(t), 1)), lambda i: t[i] = 'the' AND t[i + 1] = 'of')) + len(list_filter(range(1, greatest(len(r), 1)), lambda i: r[i] = 'the' AND r[i + 1] = 'of')) AS f2 FROM own),
+n AS (SELECT count(*) AS n, avg(length) AS mean, count(*) FILTER (WHERE f1 > 0) AS d1, count(*) FILTER (WHERE f2 > 0) AS d2 FROM each), idf AS (SELECT *, ln((n - d1 + 0.5) / (d1 + 0.5)) AS i1, ln((n - d2 + 0.5) / (d2 + 0.5)) AS i2 FROM n)
+SELECT id, round(-((CASE WHEN i1 > 0 THEN i1 ELSE 1e-6 END) * f1 * 2.2 / (f1 + 1.2 * (0.25 + 0.75 * length / mean)) + (CASE WHEN i2 > 0 THEN i2 ELSE 1e-6 END) * f2 * 2.2 / (f2 + 1.2 * (0.25 + 0.75 * length / mean))), 6) AS score FROM each, idf WHERE f1 > 0 AND f2 > 0""",
     }

@@ -145,10 +145,27 @@ def body_size(spark, d):
     return headings.body_size(document_lines(spark, d))
 
 
-def style_levels(spark, d):
+def part_titles(spark, d):
+    """Parts as heading texts: labels of every kind by turns."""
     (part,) = load(spark, d, "part")
-    style = Window.partitionBy("p_brand").orderBy(F.desc("p_size"), "p_type")
-    return part.select("p_partkey", F.least(F.dense_rank().over(style), F.lit(3)).alias("level"))
+    k = F.col("p_partkey")
+    label = F.element_at(F.array(F.concat(k % 9 + 1, F.lit(" ")), F.concat(k % 9 + 1, F.lit("."), k % 5 + 1, F.lit(" ")), F.concat(F.lit("Chapter "), k % 20 + 1, F.lit(": ")), F.lit("(a) "), F.lit("")), (k % 5 + 1).cast("int"))
+    return part.select("p_partkey", F.concat(label, "p_type", F.when(k % 7 == 0, ",").otherwise("")).alias("title"))
+
+
+def heading_texts(spark, d):
+    own, t = part_titles(spark, d), F.col("title")
+    return own.select("p_partkey", headings.strip_numbering(t).alias("bare"), headings.numbering_depth(t).cast("int").alias("depth"), headings.heading_like(t).alias("heading"), headings.is_caps(t).alias("caps"))
+
+
+def bookmark_headings(spark, d):
+    """Part titles as bookmarks of their brands' documents, lines that repeat some of them on the same page."""
+    (part,) = load(spark, d, "part")
+    toc = part.select(F.col("p_brand").alias("doc_id"), F.col("p_partkey").alias("ord"), (F.col("p_size") % 5).alias("level"), F.concat(F.lit("  "), "p_name", F.lit(" ")).alias("title"), F.col("p_partkey").alias("page"))
+    lines = part.select(F.col("p_brand").alias("doc_id"), F.col("p_partkey").alias("page"), F.explode(F.sequence(F.lit(0), F.lit(2))).alias("line_idx"), "p_name", "p_size")
+    lines = lines.select("doc_id", "page", "line_idx", F.when((F.col("line_idx") == 2) & (F.col("p_size") % 2 == 0), F.col("p_name")).otherwise(F.lit("0")).alias("text"))
+    documents = part.select(F.col("p_brand").alias("doc_id"), F.lit(1_000_000).alias("page_count")).distinct()
+    return headings.bookmarks_to_headings(headings.clean_bookmarks(toc, documents), lines).select("doc_id", "page", "level", "title", "line_idx")
 
 
 def event_headings(spark, d):
@@ -305,11 +322,11 @@ def relations_of(spark, d):
 # validation on plain tables
 
 
-def evidence_integrity(spark, d):
-    """Lines whose order is unknown, by return flag: none is left of sound data."""
-    lineitem, orders = load(spark, d, "lineitem", "orders")
-    missing = lineitem.join(orders.filter("o_orderstatus <> 'P'"), F.col("l_orderkey") == F.col("o_orderkey"), "left_anti")
-    return missing.groupBy("l_returnflag").agg(F.count("*").alias("n"))
+def broken_evidence(spark, d):
+    """Built records of which every seventh has lost its second piece of evidence."""
+    own, _ = built(spark, d)
+    number = F.regexp_extract("section_id", r"(\d+)", 1).cast("long")
+    return records.broken_evidence(own.withColumn("evidence", F.when(number % 7 == 0, F.slice("evidence", 1, 1)).otherwise(F.col("evidence")))).select("record_id", "section_id", "pos", "evidence")
 
 
 def pages_outside_section(spark, d):
@@ -474,11 +491,113 @@ def knowledge_export(spark, d):
     return out.select("record_id", "content_type", "title", "topic", "subtopic", "knowledge", F.col("source.document_id").alias("document"), F.col("source.page_start").alias("page_start"), F.col("validation.reason").alias("reason"))
 
 
+def export_overview(spark, d):
+    own, _ = built(spark, d)
+    return export.overview(own.withColumn("status", F.when(F.col("record_type") == "RULE", "HUMAN_REVIEW").otherwise("PASS"))).select("record_id", "type", "title", "topic", "subtopic", "documents", "pages", "proprietary", "needs_review")
+
+
+def merged_knowledge(spark, d):
+    """What is exported of checked records that were merged."""
+    own, sections = built(spark, d)
+    checked = validate.validate(own, sections).filter("status <> 'REGENERATE'")
+    files = sections.select("doc_id", F.concat("doc_id", F.lit(".pdf")).alias("filename")).distinct()
+    out = export.knowledge_records(link.merged_records(checked), files)
+    return out.select("record_id", "content_type", F.col("validation.status").alias("status"), (F.size("additional_sources") + 1).alias("n_sources"))
+
+
+def contents(spark, d):
+    (part,) = load(spark, d, "part")
+    own = part.select(F.col("p_brand").alias("topic"), F.when(F.col("p_size") % 3 == 0, "").otherwise(F.col("p_type")).alias("subtopic"))
+    return export.topic_counts(own)
+
+
+# small functions and the store
+
+
+def small_functions(spark, d):
+    (part,) = load(spark, d, "part")
+    name, k = F.col("p_name"), F.col("p_partkey")
+    return part.select(
+        "p_partkey", text.clean_title(F.concat(F.regexp_replace(name, " ", "__"), F.lit(" "), k)).alias("title"), text.note_id(F.concat(F.lit("[F-"), k, F.lit("]"))).alias("note"), text.date_precision(F.when(k % 2 == 0, F.lit("1978")).otherwise("12 March 1978")).alias("precision"),
+        text.page_marker(k).alias("marker"), text.format_table(F.array(F.array(name, F.lit(None)), F.array("p_brand", "p_type"))).alias("table"), text.text_quality(F.concat(name, F.lit(" 12 x"))).alias("quality"),
+        text.needs_ocr(F.substring(name, 1, 40), F.col("p_size") / 100).alias("scan"), text.image_coverage(F.array(F.col("p_size") * 1.0, F.lit(30.0)).cast("array<double>"), F.lit(64.0)).alias("images"),
+    )
+
+
+def table_cells(spark, d):
+    """Nations as tables: the first row names subjects, the first column attributes."""
+    (nation,) = load(spark, d, "nation")
+    rows = F.array(F.array(F.lit(""), F.col("n_name"), F.lit("All")), F.array(F.lit("key"), F.col("n_nationkey").cast("string"), F.lit("")), F.array(F.lit("region"), F.col("n_regionkey").cast("string"), F.lit(" 9 ")))
+    return records.table_triples(nation.select(F.col("n_nationkey").alias("table_id"), rows.alias("rows")))
+
+
+def entity_ids(spark, d):
+    (customer,) = load(spark, d, "customer")
+    kinds = F.explode(F.array(*map(F.lit, ("CASE", "STATUTE", "PROVISION", "COURT"))))
+    own = customer.select("c_custkey", kinds.alias("entity_type"), "c_name")
+    return own.select("c_custkey", "entity_type", link.entity_id(F.col("entity_type"), F.concat(F.lit("The "), "c_name", F.lit(" Act"))).alias("entity_id"))
+
+
+def law_entities(spark, d):
+    own, _ = built(spark, d)
+    return link.with_entities(own.filter("record_type = 'RULE'")).select("section_id", F.explode("laws").alias("law")).select("section_id", "law.provision", "law.entity_id")
+
+
+def record_topics(spark, d):
+    own, _ = built(spark, d)
+    return link.topics_of(own)
+
+
+def record_counts(spark, d):
+    own, _ = built(spark, d)
+    return library.counts(own, "record_type")
+
+
+def record_evidence(spark, d):
+    own, _ = built(spark, d)
+    return library.evidence_rows(link.merged_records(own))
+
+
+def requests(spark, d):
+    """Lengths of the first requests, and the lines of notes that the second one shows."""
+    items, _, own = extracted(spark, d)
+    first = records.extract_request(own.withColumns({"types": F.array("seg"), "prompt": F.lit(None).cast("string")})).select("section_id", F.length("request").alias("n"))
+    notes = records.note_for_composer(records.repaired_items(items), own).groupBy("section_id").agg(F.array_join(F.array_sort(F.collect_list("line")), " ").alias("notes"))
+    return first.join(notes, "section_id")
+
+
+def _units(spark, d):
+    (orders,) = load(spark, d, "orders")
+    return orders.select(F.col("o_custkey").cast("string").alias("doc_id"), F.lit("extract").alias("stage"), F.col("o_orderkey").cast("string").alias("unit_id"), F.concat(F.lit("e"), "o_orderkey").alias("error"), F.when(F.col("o_orderkey") % 2 == 0, "out").alias("output_path"), F.col("o_orderdate").alias("updated_at"), "o_orderkey")
+
+
+def stage_cycle(spark, d):
+    """Units started, every third started again, every fifth failed, the others done, those of one document reset."""
+    units = _units(spark, d)
+    state = library.started(library.started(None, units), units.filter("o_orderkey % 3 = 0"))
+    state = library.finished(library.finished(state, units.filter("o_orderkey % 5 = 0"), "failed"), units.filter("o_orderkey % 5 <> 0"), "done")
+    return library.reset(state, "7").select("doc_id", "unit_id", "status", "attempts", F.when(F.col("status") == "failed", F.col("error")).alias("error"), "output_path")
+
+
+def stage_failures(spark, d):
+    units = _units(spark, d)
+    state = library.finished(library.finished(None, units.filter("o_orderkey % 5 = 0"), "failed"), units.filter("o_orderkey % 5 <> 0"), "done")
+    return library.failures(state).select("doc_id", "unit_id", "error")
+
+
+def documents_by_status(spark, d):
+    (docs,) = load(spark, d, "documents")
+    own = docs.select("doc_id", F.when(F.col("n_chars") > 1000, "done").otherwise("failed").alias("status"), F.col("n_chars").alias("added_at"))
+    changed = own.filter("doc_id % 10 = 0").select("doc_id", F.lit("pending").alias("status"), F.lit(None).cast("string").alias("error"), F.lit(None).cast("timestamp").alias("updated_at"))
+    return library.documents_by_status(library.with_status(own, changed), "failed").select("doc_id", "status")
+
+
 QUERIES = (
     content_ids, content_duplicates, token_estimate, text_quality_counts, line_signatures, repeated_edges, clean_text_lengths, telegraphic_notes, keyword_counts, class_scores, class_types, skip_reasons, class_summary, legal_terms, term_keys, protected_terms,
-    body_size, style_levels, normalised_levels, parent_heading, topic_paths, block_assignment, detected_headings, section_pieces, page_ranges, ngram_containment, longest_shared_run, interval_merge, best_sentence, built_records, validated_records, merged_records,
-    entity_registry, record_relations, relation_dedupe, relations_of, evidence_integrity, pages_outside_section, identifier_support, verdicts, statements_check, topic_tree_counts, upsert_latest, stage_summary, recover_interrupted, todo_units, review_pending, merged_library,
-    keyword_and, bm25_top, phrase_search, search_snippets, vector_topk, vector_topk_each, usage_cost, cost_estimate, run_totals, export_sources, knowledge_export,
+    body_size, heading_texts, bookmark_headings, normalised_levels, parent_heading, topic_paths, block_assignment, detected_headings, section_pieces, page_ranges, ngram_containment, longest_shared_run, interval_merge, best_sentence, built_records, validated_records, merged_records,
+    entity_registry, record_relations, relation_dedupe, relations_of, broken_evidence, pages_outside_section, identifier_support, verdicts, statements_check, topic_tree_counts, upsert_latest, stage_summary, recover_interrupted, todo_units, review_pending, merged_library,
+    keyword_and, bm25_top, phrase_search, search_snippets, vector_topk, vector_topk_each, usage_cost, cost_estimate, run_totals, export_sources, knowledge_export, export_overview, merged_knowledge, contents,
+    small_functions, table_cells, entity_ids, law_entities, record_topics, record_counts, record_evidence, requests, stage_cycle, stage_failures, documents_by_status,
 )
 
 
