@@ -1,8 +1,7 @@
 """The library: versioned Parquet tables with merges, counts, the review queue and stage checkpoints.
 
-A table's version is a list of the folders that hold its rows, one for each bucket of keys. Data is written first, the list last and through Spark's
-commit protocol: a version without Spark's mark of success isn't there, so a lost task or driver leaves the old version in place, and readers never
-see half a table. Versions are numbered and never replaced; a merge writes the buckets that its updates fall into and lists the others as they are.
+A table's version is a list of the folders that hold its rows, one for each bucket of keys. Data is written first, the list last: a version whose
+list isn't whole isn't there, so a lost task or driver leaves the old version in place, and readers never see half a table. Versions are numbered and never replaced; a merge writes the buckets that its updates fall into and lists the others as they are.
 """
 
 from __future__ import annotations
@@ -26,26 +25,42 @@ class Library:
         self._fs = sc._jvm.org.apache.hadoop.fs
         self._conf = sc._jsc.hadoopConfiguration()
 
-    def _numbers(self, folder: str, only_whole: bool) -> list[int]:
-        """Numbers of the versions in a folder."""
+    def _numbers(self, folder: str) -> list[int]:
+        """Numbers in a folder, of versions or of their data, broken-off ones too."""
         where = self._fs.Path(folder)
         fs = where.getFileSystem(self._conf)
-        if not fs.exists(where):
-            return []
-        names = [s.getPath().getName() for s in fs.listStatus(where)]
-        return sorted(int(n) for n in names if n.isdigit() and (not only_whole or fs.exists(self._fs.Path(f"{folder}/{n}/_SUCCESS"))))
+        return sorted(int(n) for n in (s.getPath().getName() for s in fs.listStatus(where)) if n.isdigit()) if fs.exists(where) else []
+
+    def _list_of(self, name: str, number: int) -> dict | None:
+        """schema, keys, and folders by bucket of a version; None for one that broke off while it was written."""
+        where = self._fs.Path(f"{self.path}/{name}/versions/{number:08d}")
+        fs = where.getFileSystem(self._conf)
+        if not fs.getFileStatus(where).isFile():
+            return None
+        stream = fs.open(where)
+        try:
+            return json.loads(bytes(stream.readAllBytes()))
+        except ValueError:
+            return None
+        finally:
+            stream.close()
+
+    def _current(self, name: str) -> tuple[int, dict] | None:
+        for number in reversed(self._numbers(f"{self.path}/{name}/versions")):
+            listed = self._list_of(name, number)
+            if listed is not None:
+                return number, listed
+        return None
 
     def version(self, name: str) -> int | None:
         """The number of the current version."""
-        whole = self._numbers(f"{self.path}/{name}/versions", True)
-        return whole[-1] if whole else None
+        found = self._current(name)
+        return found[0] if found else None
 
     def _listed(self, name: str) -> dict | None:
-        """schema, keys, and folders by bucket of the current version; tables that no merge has made have the one bucket -1."""
-        number = self.version(name)
-        if number is None:
-            return None
-        return json.loads(self.spark.read.schema("value string").text(f"{self.path}/{name}/versions/{number:08d}").first()[0])
+        """The list of the current version; tables that no merge has made have the one bucket -1."""
+        found = self._current(name)
+        return found[1] if found else None
 
     def _rows(self, name: str, listed: dict, buckets: set[int] | None = None) -> DataFrame:
         schema = T.StructType.fromJson(listed["schema"])
@@ -60,13 +75,26 @@ class Library:
 
     def _next(self, name: str) -> int:
         """A number that no version, whole or broken off, has."""
-        return 1 + max([0, *self._numbers(f"{self.path}/{name}/data", False), *self._numbers(f"{self.path}/{name}/versions", False)])
+        return 1 + max([0, *self._numbers(f"{self.path}/{name}/data"), *self._numbers(f"{self.path}/{name}/versions")])
 
     def _publish(self, name: str, number: int, schema: T.StructType, keys: list[str], folders: dict[int, str]) -> DataFrame:
         listed = {"schema": schema.jsonValue(), "keys": keys, "folders": {str(b): f for b, f in folders.items()}}
-        self.spark.createDataFrame([(json.dumps(listed),)], "value string").coalesce(1).write.text(f"{self.path}/{name}/versions/{number:08d}")
+        where = self._fs.Path(f"{self.path}/{name}/versions/{number:08d}")
+        stream = where.getFileSystem(self._conf).create(where, False)  # never over another writer's
+        stream.write(bytearray(json.dumps(listed).encode()))
+        stream.close()
         return self._rows(name, listed)
 
+    def vacuum(self, name: str, keep: int = 2) -> None:
+        """Removes data that the last `keep` whole versions don't list, and older lists."""
+        lists = [(n, x) for n in self._numbers(f"{self.path}/{name}/versions") if (x := self._list_of(name, n)) is not None][-keep:]
+        held = {f.split("/")[1] for _, x in lists for f in x["folders"].values()}
+        for folder, kept in (("data", held), ("versions", {f"{n:08d}" for n, _ in lists})):
+            for n in self._numbers(f"{self.path}/{name}/{folder}"):
+                if lists and f"{n:08d}" not in kept and n < lists[-1][0]:
+                    where = self._fs.Path(f"{self.path}/{name}/{folder}/{n:08d}")
+                    where.getFileSystem(self._conf).delete(where, True)
+
     def replace(self, name: str, rows: DataFrame) -> DataFrame:
         """Writes a new version and makes it the current one."""
         number = self._next(name)

@@ -61,8 +61,12 @@ class Pipeline:
     def _started(self, units: DataFrame) -> None:
         self.library.replace("stage_status", library.started(self.library.read("stage_status"), units))
 
-    def _ended(self, units: DataFrame, status: str) -> None:
-        self.library.replace("stage_status", library.finished(self.library.read("stage_status"), units, status))
+    def _ended(self, *ends: tuple[DataFrame, str]) -> None:
+        """Units and how they ended, all in one new version."""
+        state = self.library.read("stage_status")
+        for units, status in ends:
+            state = library.finished(state, units, status)
+        self.library.replace("stage_status", state)
 
     def _open(self, rows: DataFrame, stage: str, unit: str = "") -> DataFrame:
         """The rows whose unit of a stage isn't done."""
@@ -76,25 +80,26 @@ class Pipeline:
         """Reads new files of the inbox. documents with their status: pending (read), quarantined. Unreadable files are listed with their error."""
         found = files.scan_inbox(self.spark, self.settings.path("inbox"))
         new = self._open(found, "ingest")
-        if new.isEmpty():
+        names = self.library.replace("new_files", new.drop("content"))  # the inbox is looked through once
+        new = new.join(names.select("path"), "path", "left_semi")
+        if names.isEmpty():
             return self._table("documents", "doc_id string, filename string, status string, error string")
-        self._started(self._units(new, "ingest"))
+        self._started(self._units(names, "ingest"))
         pages, bad = files.parse_documents(new, self.parser)
         if self.settings.ocr.enabled and self.ocr is not None:
             pages = files.read_scans(pages, self.ocr, self.settings.ocr.min_chars, self.settings.ocr.min_image_share)
         pages = self.library.merge("pages", pages if self.settings.tables else pages.withColumn("tables", F.array().cast("array<array<array<string>>>")), ["doc_id", "page"])
-        bad = self.library.merge("quarantine", bad, ["doc_id"]).join(new.select("doc_id"), "doc_id", "left_semi")
-        here = pages.join(new.select("doc_id"), "doc_id", "left_semi")
+        bad = self.library.merge("quarantine", bad, ["doc_id"]).join(names.select("doc_id"), "doc_id", "left_semi")
+        here = pages.join(names.select("doc_id"), "doc_id", "left_semi")
         report = cleaning.ingest_report(here.select("doc_id", "page", "text", "is_ocr", F.lit(False).alias("ocr_failed"), F.when(F.col("is_ocr"), tx.text_quality(F.col("text"))).alias("quality"), F.size("tables").alias("n_tables")), self.settings.ocr.low_quality)
         self.library.merge("ingest_reports", report, ["doc_id"])
         now = F.current_timestamp()
-        base = new.select("doc_id", "filename", F.col("path").alias("source_path"))
+        base = names.select("doc_id", "filename", F.col("path").alias("source_path"))
         read = base.join(here.groupBy("doc_id").agg(F.count("*").cast("int").alias("page_count")), "doc_id").withColumns({"status": F.lit("pending"), "error": F.lit(None).cast("string")})
         unread = base.join(bad.select("doc_id", "error"), "doc_id").withColumns({"page_count": F.lit(0), "status": F.lit("quarantined")})
         both = read.unionByName(unread).withColumns({"added_at": now, "updated_at": now})
         out = self.library.merge("documents", both, ["doc_id"], rules={"added_at": "keep"})
-        self._ended(self._units(read, "ingest"), "done")
-        self._ended(self._units(unread, "ingest"), "failed")
+        self._ended((self._units(read, "ingest"), "done"), (self._units(unread, "ingest"), "failed"))
         return out
 
     def run_structure(self, bookmarks: DataFrame | None = None) -> DataFrame:
@@ -112,8 +117,7 @@ class Pipeline:
             self.library.merge("headings", found, ["doc_id", "n"])
             self.library.merge("topic_nodes", headings.topic_tree(found, self.settings.max_heading_levels), ["doc_id", "node_id"])
             self.library.merge("sections", sections.make_sections(lines, found, titles, tables, self.settings.sectioning), ["section_id"])
-            for stage in ("structure", "section"):
-                self._ended(self._units(documents, stage), "done")
+            self._ended(*[(self._units(documents, stage), "done") for stage in ("structure", "section")])
         return self.library.read("sections")
 
     def run_classify(self) -> DataFrame:
@@ -122,7 +126,7 @@ class Pipeline:
         if not new.isEmpty():
             found = cls.classify(new).join(new.select("section_id", "doc_id"), "section_id")
             self.library.merge("classes", found, ["section_id"])
-            self._ended(self._units(new, "classify"), "done")
+            self._ended((self._units(new, "classify"), "done"))
         out = self.library.read("classes")
         if self.reclassify is not None and self.settings.models.classify_with_model:
             out = cls.reclassified(out, self.library.read("sections"), self.reclassify)
@@ -203,9 +207,9 @@ class Pipeline:
         queue = library.review_rows(checked).withColumn("created_at", F.current_timestamp())
         self.library.merge("review_queue", queue, ["review_id"])
         good, bad = todo.join(failed, "section_id", "left_anti"), todo.join(failed, "section_id")
-        for stage in (EXTRACTED, "compose", LINKED):
-            self._ended(self._units(good, stage, "section_id"), "done")
-        self._ended(self._units(bad, EXTRACTED, "section_id"), "failed")
+        done = self._units(good, EXTRACTED, "section_id")
+        every = done.select("doc_id", F.explode(F.array(*map(F.lit, (EXTRACTED, "compose", LINKED)))).alias("stage"), "unit_id", "error", "output_path", "updated_at")
+        self._ended((every, "done"), (self._units(bad, EXTRACTED, "section_id"), "failed"))
         each = checked.groupBy("section_id").agg(F.sum((F.col("status") == "PASS").cast("long")).alias("saved"), F.sum((F.col("status") == "HUMAN_REVIEW").cast("long")).alias("for_review"))
         worded = again[0].groupBy("section_id").agg(F.count("*").alias("regenerated")) if again else self.spark.createDataFrame([], "section_id string, regenerated long")
         out = todo.select("section_id", "doc_id", "title").join(failed, "section_id", "left").join(each, "section_id", "left").join(worded, "section_id", "left").fillna(0, ["saved", "for_review", "regenerated"])
