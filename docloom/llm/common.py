@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,6 +49,14 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def give_back() -> None:
+    """Returns to the system what Arrow and the C library hold unused: a Python worker outlives its task, and so would the memory of its largest batch."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
 def ready(spark: SparkSession) -> None:
     """Checkpoints go to the shared folder the cluster names; only a local session may fall back on a folder of its own."""
     sc = spark.sparkContext

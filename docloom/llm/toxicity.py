@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut, let, text_of, words_of
+from .common import cut, give_back, let, text_of, words_of
 
 SAMPLE_DOCS = 20_000
 LEAST_COUNT = 5
@@ -40,7 +40,7 @@ PRIOR_SHARE = 0.1
 Z_LEAST = 3.4
 ODDS_LEAST = 2.0
 DRIFT = 0.05
-SLICE_BYTES = 8_000_000
+SLICE_BYTES = 3_000_000
 PREFIXES = (6, 5, 4, 3)
 #: Characters stripped from both ends of a word to make a token.
 EDGES = ".,;:!?\"'()[]{}<>*#$%&|_-+=/\\~`^@«»“”‘’…–—"
@@ -153,6 +153,7 @@ def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         held += n + 1
     if first < batch.num_rows:
         yield batch.slice(first)
+    give_back()
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, key: str, text: str, most: int = SAMPLE_DOCS) -> DataFrame:
