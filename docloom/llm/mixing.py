@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, SEPARATOR, cut, n_words_of, text_of
+from .common import BROADCAST_ROWS, SEPARATOR, cut, give_back, n_words_of, text_of
 
 MAX_REPEATS = 3
 BLOCK_WORDS = 20_000
@@ -145,6 +145,7 @@ def plan(sized: DataFrame, weights, shards: int | None = None, seed: int = SEED)
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Each block with the shards of its draws: by whole pass, then of the last part of a pass, -1 where it isn't drawn."""
+        give_back()  # of the stage before
         for batch in batches:
             source, place = batch.column(0).to_numpy(), batch.column(4).to_numpy()
             order = np.argsort(source, kind="stable")

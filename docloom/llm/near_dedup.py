@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import bloom
-from .common import cut, discard, saved, spread, text_of
+from .common import cut, discard, give_back, saved, spread, text_of
 from .suffix_dedup import mix
 from .toxicity import slices
 
@@ -242,6 +242,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
             a, b = batch.column(2), batch.column(3)
             alike = [similarity(np.frombuffer(a[i].as_buffer(), np.uint64), np.frombuffer(b[i].as_buffer(), np.uint64)) >= threshold for i in range(batch.num_rows)]
             yield pa.RecordBatch.from_arrays([c.filter(pa.array(alike, pa.bool_())) for c in batch.columns[:2]], names=["a", "b"])
+        give_back()
 
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
@@ -328,6 +329,7 @@ def _links(held: DataFrame, sizes: DataFrame, sets: DataFrame, threshold: float)
                 held = table.slice(int(starts[-1])).to_batches()
         if held:
             yield of_tile(pa.Table.from_batches(held))
+        give_back()
 
     def of_tile(table: pa.Table) -> pa.RecordBatch:
         node, c, first = (table.column(k).to_numpy() for k in ("node", "c", "first"))

@@ -32,13 +32,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import give_back
 from .wordpieces import MOST_BYTES, PATTERN, WordPieces
 
 CAPACITY = 4096
 END_ID = 2
 CHUNK_DOCS = 1024
-CHUNK_CHARS = 4_000_000
-CACHED_WORDS = 400_000
+CHUNK_CHARS = 2_000_000
+CACHED_WORDS = 200_000
 
 
 class WordCache:
@@ -251,6 +252,7 @@ def pack(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text
             doc, start, size = np.array(left, dtype=np.int64).reshape(-1, 3).T
             own = [ids[a : a + k] for a, k in zip((first[doc] + start).tolist(), size.tolist(), strict=True)]
             held = (names.take(pa.array(doc)), np.concatenate([ids[:0], *own]), size, begin[doc] + start, total[doc])
+            give_back()
         if held is not None and len(held[2]):
             names, ids, size, begin, total = held
             tail = pack_tail([(d, 0, n) for d, n in enumerate(size.tolist())], sequences)
