@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.files import dealt
+
 #: A word is a maximal run of anything but these six white-space characters.
 SPACES = " \t\n\x0b\x0c\r"
 SEPARATOR = r"[\x20\x09-\x0D]+"
@@ -21,7 +23,8 @@ HOT_ROWS, HOT_KEYS = 1000, 20_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table of the folder; one with fewer splits than cores is dealt out to all of them."""
+    return dealt(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def text_of(column: str = "text") -> Column:
