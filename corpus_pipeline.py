@@ -10,7 +10,7 @@ mix          draws documents by source weights; a document comes once for each d
 pack         cuts and packs the mix into token sequences
 
 Defined results: null texts count as empty in every stage; an empty table gives none; rows equal in id and text are one after exact dedup; columns
-beside those of `documents` are left out when a stage begins, so that no name can clash; very long texts are read whole.
+beside those of `documents` are dropped by a stage, whatever their names; very long texts are read whole.
 
 ORACLE_SQL is None: the model, the signatures, the draws and the tokenizer are beyond SQL. tests/llm/test_pipeline.py holds the stages
 against plain Python forms.
