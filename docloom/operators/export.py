@@ -84,7 +84,8 @@ def overview(records: DataFrame) -> DataFrame:
     """A row for each record, lists as texts: what the CSV export holds."""
     docs = F.array_join(F.array_sort(F.array_distinct(F.transform("evidence", lambda e: e["doc_id"]))), " ")
     pages = F.array_join(F.transform(F.array_sort(F.array_distinct(F.flatten(F.transform("evidence", lambda e: e["pages"])))), lambda p: p.cast("string")), " ")
-    return records.select("record_id", F.col("record_type").alias("type"), record_title().alias("title"), F.coalesce("topic.name", F.lit("")).alias("topic"), F.coalesce("subtopic.name", F.lit("")).alias("subtopic"), docs.alias("documents"), pages.alias("pages"), "proprietary", F.coalesce(F.col("status") == "HUMAN_REVIEW", F.lit(False)).alias("needs_review")).orderBy("record_id")
+    waits = F.coalesce(F.col("status") == "HUMAN_REVIEW", F.lit(False)) if "status" in records.columns else F.lit(False)
+    return records.select("record_id", F.col("record_type").alias("type"), record_title().alias("title"), F.coalesce("topic.name", F.lit("")).alias("topic"), F.coalesce("subtopic.name", F.lit("")).alias("subtopic"), docs.alias("documents"), pages.alias("pages"), "proprietary", waits.alias("needs_review")).orderBy("record_id")
 
 
 def write_json_lines(rows: DataFrame, path: str) -> None:
