@@ -38,6 +38,19 @@ def table(values: DataFrame, h: str, slices: int) -> DataFrame:
     return each.groupBy("slice").agg(F.bitmap_construct_agg(F.col("bit").cast("long")).alias("bitmap"))
 
 
+def sent(values: DataFrame, h: str, n: int) -> tuple[DataFrame, int]:
+    """The filter of the n values of column h for probed(), with its number of slices. Up to MOST_BYTES it goes to all tasks, so that the rows it is
+    asked about stay where they are; a larger one is dealt out by slice, and so are they."""
+    slices = slices_for(n)
+    held = table(values, h, slices)
+    return F.broadcast(cut(held)) if fits(n) else held, slices
+
+
+def fits(n: int) -> bool:
+    """Whether a filter of n values may go to all tasks."""
+    return slices_for(n) << SLICE_BITS <= 8 * MOST_BYTES
+
+
 def is_set(bitmap: Column, bit: Column) -> Column:
     """bitmap_construct_agg keeps bit b in byte b div 8, lowest bit first."""
     byte = F.conv(F.hex(F.substr(bitmap, F.shiftright(bit, 3) + 1, F.lit(1))), 16, 10).cast("int")

@@ -183,8 +183,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     by_pair, path = saved(by_pair)
     by_key = by_pair.groupBy("key").agg(F.sum("n").alias("total"), F.sum(F.when(F.col("n") == 1, 1).otherwise(0)).alias("edges"), F.count("*").alias("contexts")).filter("total > 1")
     by_key = cut(by_key.withColumn("h", F.xxhash64("key")))
-    slices = bloom.slices_for(by_key.count())
-    likely = bloom.probed(by_pair.withColumn("h", F.xxhash64("key")), "h", bloom.table(by_key, "h", slices), slices).filter("maybe")
+    likely = bloom.probed(by_pair.withColumn("h", F.xxhash64("key")), "h", *bloom.sent(by_key, "h", by_key.count())).filter("maybe")
     # every pair whose anchor repeats; `alike` pairs repeat as a whole, the others are edges
     alive = cut(likely.select("key", "around", "n").join(by_key.drop("h"), "key").selectExpr("key", "around", "n > 1 as alike", "edges > 0 as mixed", "contexts"))
     discard(docs.sparkSession, path)
@@ -287,8 +286,8 @@ def suffix_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", with_
     found = repeated_spans(rows.select("r1", "r2", "text"))
     found = cut(found.groupBy("r1", "r2").agg(F.collect_list("first").alias("first"), F.collect_list("last").alias("last")))
     n = found.count()
-    slices = bloom.slices_for(n)
-    marked = bloom.probed(rows, "r1", bloom.table(found, "r1", slices), slices)
+    # where the filter is too large to be sent, all texts meet their spans, which deals them out once as well
+    marked = bloom.probed(rows, "r1", *bloom.sent(found, "r1", n)) if bloom.fits(n) else rows.withColumn("maybe", F.lit(True))
     kept = "n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept_bytes binary" * with_bytes
     schema = T.StructType([docs.schema[key], *T.StructType.fromDDL(kept)])
 
