@@ -25,6 +25,22 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc
 FROM hashed WINDOW g AS (PARTITION BY text_sha256)
 """
 
+OP5 = """
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+places AS (SELECT r, b, unnest(range(0, greatest(octet_length(b) - 199, 0))) AS p FROM docs),
+repeated AS (SELECT r, p FROM (SELECT r, p, md5(b[p + 1:p + 200]) AS s FROM places) QUALIFY count(*) OVER (PARTITION BY s) > 1),
+marked AS (SELECT r, p, CASE WHEN p <= lag(p) OVER (PARTITION BY r ORDER BY p) + 200 THEN 0 ELSE 1 END AS new FROM repeated),
+numbered AS (SELECT r, p, sum(new) OVER (PARTITION BY r ORDER BY p) AS g FROM marked),
+spans AS (SELECT r, min(p) AS a, max(p) + 200 AS e FROM numbered GROUP BY r, g),
+gone AS (SELECT r, sum(e - a) AS n_removed, count(*) AS n_spans, max(e) AS e FROM spans GROUP BY r),
+pieces AS (
+  SELECT r, coalesce(lag(e) OVER (PARTITION BY r ORDER BY a), 0) AS a, a AS e FROM spans
+  UNION ALL SELECT r, e, octet_length(b) FROM gone JOIN docs USING (r)),
+kept AS (SELECT r, unhex(string_agg(CASE WHEN e > a THEN hex(b[a + 1:e]) ELSE '' END, '' ORDER BY a)) AS k FROM pieces JOIN docs USING (r) GROUP BY r)
+SELECT doc_id, octet_length(b)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(coalesce(k, b)) AS kept_sha256
+FROM docs LEFT JOIN gone USING (r) LEFT JOIN kept USING (r)
+"""
 
 OP9 = """
 WITH hashed AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
@@ -39,4 +55,4 @@ def oracle_sql() -> dict[str, str]:
     from .quality_rules import STOP_WORDS
 
     quoted = ", ".join(f"'{x}'" for x in dict.fromkeys(STOP_WORDS))
-    return {"op2_quality_rules": OP2.replace("{stop}", quoted), "op6_exact_dedup": OP6, "op9_warc": OP9}
+    return {"op2_quality_rules": OP2.replace("{stop}", quoted), "op5_suffix_dedup": OP5, "op6_exact_dedup": OP6, "op9_warc": OP9}
