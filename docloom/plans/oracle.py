@@ -138,6 +138,9 @@ idf AS (SELECT *, ln((n - d1 + 0.5) / (d1 + 0.5)) AS i1, ln((n - d2 + 0.5) / (d2
 scored AS (SELECT doc_id, -((CASE WHEN i1 > 0 THEN i1 ELSE 1e-6 END) * f1 * 2.2 / (f1 + 1.2 * (0.25 + 0.75 * length / mean)) + (CASE WHEN i2 > 0 THEN i2 ELSE 1e-6 END) * f2 * 2.2 / (f2 + 1.2 * (0.25 + 0.75 * length / mean))) AS s FROM each, idf WHERE f1 > 0 AND f2 > 0)
 SELECT doc_id, round(s, 6) AS score FROM scored ORDER BY s, doc_id LIMIT 20""",
         "vector_topk": "WITH q AS (SELECT embedding AS e FROM embeddings WHERE vec_id = 7) SELECT vec_id, round(list_dot_product(CAST(embedding AS DOUBLE[]), CAST(e AS DOUBLE[])), 5) AS score FROM embeddings, q ORDER BY list_dot_product(CAST(embedding AS DOUBLE[]), CAST(e AS DOUBLE[])) DESC, vec_id LIMIT 10",
+        "vector_topk_each": """WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE embedding IS NOT NULL),
+scored AS (SELECT q.vec_id AS query_id, v.vec_id, list_dot_product(v.e, q.e) AS s FROM v, (SELECT * FROM v WHERE vec_id % 20 = 0) AS q)
+SELECT query_id, vec_id, round(s, 5) AS score FROM scored QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY s DESC, vec_id) <= 10""",
         "usage_cost": """WITH u AS (SELECT event_type AS model, count(*) AS calls, CAST(sum(user_id) AS BIGINT) AS input_tokens, CAST(sum(event_id % 100) AS BIGINT) AS output_tokens, CAST(sum(event_id % 7) AS BIGINT) AS cache_read_tokens, CAST(sum(event_id % 3) AS BIGINT) AS cache_write_tokens FROM events GROUP BY 1),
 p AS (SELECT * FROM (VALUES ('view', 4.0, 20.0), ('click', 2.0, 10.0), ('error', 1.0, 5.0)) AS t(model, i, o))
 SELECT u.*, round((input_tokens * CAST(coalesce(i, 0) AS DOUBLE) + cache_read_tokens * CAST(coalesce(i, 0) AS DOUBLE) * CAST(0.1 AS DOUBLE) + cache_write_tokens * CAST(coalesce(i, 0) AS DOUBLE) * CAST(1.25 AS DOUBLE) + output_tokens * CAST(coalesce(o, 0) AS DOUBLE)) / 1e6, 4) AS cost FROM u LEFT JOIN p USING (model)""",
