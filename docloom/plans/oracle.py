@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from ..functions.patterns import KEYWORDS
+from ..functions.text import PAGE_NUMBER
 from ..functions.wordlists import STOPWORDS
+from ..operators import headings
 from .queries import LEGAL
 
 _LEGAL = f"legal AS (SELECT *, greatest(1, length(text) // 4) AS token_estimate, num % 7 = 0 AS has_tables FROM ({LEGAL.replace('AS STRING', 'AS VARCHAR')}))"
@@ -29,6 +31,65 @@ _TOKENS = """tokens AS (SELECT doc_id, regexp_extract_all(lower(strip_accents(so
 each AS (SELECT doc_id, len(s) + len(t) AS length, len(list_filter(list_concat(s, t), lambda x: x = 'mit')) AS f1, len(list_filter(list_concat(s, t), lambda x: x = 'license')) AS f2 FROM tokens)"""
 
 
+#: White space, and patterns of Java with its Unicode classes in the words of RE2.
+_S = r"[\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+
+
+def _re2(pattern: str) -> str:
+    spelled = pattern.replace("(?iU)", "(?i)").replace("(?U)", "").replace(r"[\d:.\s", rf"[\p{{Nd}}:.{_S[1:-1]}").replace(r"\s", _S).replace(r"\d", r"\p{Nd}").replace(r"\S", _S.replace("[", "[^", 1))
+    return spelled.replace("'", "''")
+
+
+def _strip(x: str) -> str:
+    return f"regexp_replace({x}, '^{_S}+|{_S}+$', '', 'g')"
+
+
+def _bare(x: str) -> str:
+    """A title without its numbering."""
+    label = _re2(f"(?iU)^{headings._LABEL}+")
+    return f"trim(regexp_replace(lower(regexp_replace(regexp_replace({_strip(x)}, '{label}', ''), '[.:]+$', '')), '{_S}+', ' ', 'g'))"
+
+
+def _detected_headings() -> str:
+    part, page, placeholder = _re2(f"(?iU)^{headings._PART}"), _re2(PAGE_NUMBER), _re2(headings._PLACEHOLDER)
+    dotted, named = _re2(r"(?U)^(\d+(?:\.\d+){0,4})\.?\s+\S"), _re2(rf"(?iU)^(?:{headings._PART}|[A-Z]\.\s+\S|[IVXLC]+\.\s+\S)")
+    return f"""WITH split AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents),
+placed AS (SELECT doc_id, unnest(l) AS text, unnest(range(0, len(l))) AS pos FROM split),
+lines AS (SELECT doc_id, CAST(pos // 40 AS INT) AS page, CAST(pos % 40 AS INT) AS line_idx, text, CASE WHEN length(text) <= 40 THEN 14 WHEN length(text) <= 80 THEN 12 ELSE 11 END AS size, length(text) <= 30 AS bold FROM placed),
+sizes AS (SELECT doc_id, size AS body, sum(length(text)) AS chars, min(page * 40 + line_idx) AS first FROM lines GROUP BY 1, 2),
+bodies AS (SELECT doc_id, body FROM sizes QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY chars DESC, first) = 1),
+shares AS (SELECT doc_id, CAST(coalesce(sum(length(text)) FILTER (WHERE bold), 0) AS DOUBLE) / greatest(sum(length(text)), 1) AS bold_share FROM lines GROUP BY 1),
+short AS (SELECT *, {_strip('text')} AS own FROM lines WHERE length({_strip('text')}) BETWEEN 1 AND 120),
+read AS (SELECT *, {_bare('text')} AS bare, CASE WHEN regexp_matches(own, '{part}') THEN 1 WHEN regexp_extract(own, '{dotted}', 1) <> '' THEN len(string_split(regexp_extract(own, '{dotted}', 1), '.')) WHEN regexp_matches(own, '{named}') THEN 1 END AS depth,
+  regexp_replace(text, '\\P{{L}}', '', 'g') AS letters FROM short),
+likely AS (SELECT *, size >= body * 0.95e0 AS near FROM read JOIN bodies USING (doc_id) JOIN shares USING (doc_id)
+  WHERE len(list_filter(regexp_split_to_array(own, '{_S}+'), lambda w: w <> '')) <= 16 AND regexp_matches(own, '\\p{{L}}') AND NOT regexp_matches(own, '[,;]$') AND NOT regexp_matches(own, '{page}')
+    AND NOT regexp_matches(bare || '.', '{placeholder}') AND bare <> '' AND NOT (own[-1] = '.' AND depth IS NULL AND length(own) > 40)),
+styled AS (SELECT *, bold AND bold_share < 0.5 AND near AS strong, length(letters) >= 4 AND NOT regexp_matches(letters, '\\P{{Lu}}') AND near AS caps FROM likely),
+ranked AS (SELECT *, dense_rank() OVER (PARTITION BY doc_id ORDER BY size DESC, strong DESC, caps DESC) AS style FROM styled
+  WHERE size >= body * 1.12e0 OR strong AND (depth IS NOT NULL OR length(text) <= 80) OR caps AND depth IS NOT NULL),
+levelled AS (SELECT *, least(CASE WHEN max(style) OVER (PARTITION BY doc_id) = 1 AND depth IS NOT NULL THEN depth ELSE style END, 3) AS lv FROM ranked),
+marked AS (SELECT *, CASE WHEN lag(page) OVER w = page AND lag(line_idx) OVER w = line_idx - 1 AND lag(lv) OVER w = lv AND depth IS NULL THEN 0 ELSE 1 END AS starts FROM levelled WINDOW w AS (PARTITION BY doc_id ORDER BY page, line_idx)),
+numbered AS (SELECT *, sum(starts) OVER (PARTITION BY doc_id ORDER BY page, line_idx) AS run FROM marked),
+heads AS (SELECT doc_id, run, page, lv, string_agg(own, ' ' ORDER BY line_idx) AS title, max(line_idx) AS line_idx FROM numbered GROUP BY 1, 2, 3, 4),
+gaps AS (SELECT *, lv - min(lv) OVER (PARTITION BY doc_id) + 1 - run AS d FROM heads),
+flat AS (SELECT *, CAST(run + least(0, min(d) OVER (PARTITION BY doc_id ORDER BY run)) AS INT) AS level FROM gaps),
+ups AS (SELECT *, {', '.join(f"last_value(CASE WHEN level = {k} THEN title END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY run) AS t{k}" for k in (1, 2, 3))} FROM flat),
+paths AS (SELECT *, list_filter([{', '.join(f'CASE WHEN level >= {k} THEN t{k} END' for k in (1, 2, 3))}], lambda t: t IS NOT NULL) AS p FROM ups)
+SELECT doc_id, CAST(run - 1 AS INT) AS n, level, title, page, line_idx, array_to_string(list_filter(p, lambda t, i: i = 1 OR {_bare('t')} <> {_bare('p[i - 1]')}), ' > ') AS path FROM paths"""
+
+
+_SNIPPETS = f"""WITH {_TOKENS}, own AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[\\p{{L}}\\p{{N}}]+') AS w, regexp_split_to_array(coalesce(text, ''), '[\\p{{L}}\\p{{N}}]+') AS gap
+  FROM documents JOIN (SELECT doc_id FROM each WHERE f1 > 0 AND f2 > 0) USING (doc_id)),
+marked AS (SELECT *, list_transform(w, lambda x: CASE WHEN lower(strip_accents(x)) IN ('mit', 'license') THEN 1 ELSE 0 END) AS hit FROM own),
+summed AS (SELECT *, list_transform(range(0, greatest(1, len(w) - 11)), lambda i: coalesce(list_sum(hit[i + 1:i + 12]), 0)) AS sums FROM marked),
+best AS (SELECT *, list_position(sums, list_max(sums)) - 1 AS a FROM summed),
+ends AS (SELECT *, least(len(w), a + 12) AS b FROM best)
+SELECT doc_id, CASE WHEN len(w) = 0 THEN text ELSE concat(CASE WHEN a > 0 THEN ' … ' ELSE '' END,
+  array_to_string(list_transform(range(a, b), lambda j: concat(CASE WHEN j = a AND a > 0 THEN '' ELSE gap[j + 1] END, CASE WHEN hit[j + 1] = 1 THEN concat('[', w[j + 1], ']') ELSE w[j + 1] END)), ''),
+  CASE WHEN b < len(w) THEN ' … ' ELSE gap[b + 1] END) END AS snippet FROM ends"""
+
+
 def _count(kind: str) -> str:
     pattern = rf"(?i)\b(?:{KEYWORDS[kind]})\b".replace("'", "''")
     return f"len(regexp_extract_all(text, '{pattern}'))"
@@ -138,6 +199,8 @@ idf AS (SELECT *, ln((n - d1 + 0.5) / (d1 + 0.5)) AS i1, ln((n - d2 + 0.5) / (d2
 scored AS (SELECT doc_id, -((CASE WHEN i1 > 0 THEN i1 ELSE 1e-6 END) * f1 * 2.2 / (f1 + 1.2 * (0.25 + 0.75 * length / mean)) + (CASE WHEN i2 > 0 THEN i2 ELSE 1e-6 END) * f2 * 2.2 / (f2 + 1.2 * (0.25 + 0.75 * length / mean))) AS s FROM each, idf WHERE f1 > 0 AND f2 > 0)
 SELECT doc_id, round(s, 6) AS score FROM scored ORDER BY s, doc_id LIMIT 20""",
         "vector_topk": "WITH q AS (SELECT embedding AS e FROM embeddings WHERE vec_id = 7) SELECT vec_id, round(list_dot_product(CAST(embedding AS DOUBLE[]), CAST(e AS DOUBLE[])), 5) AS score FROM embeddings, q ORDER BY list_dot_product(CAST(embedding AS DOUBLE[]), CAST(e AS DOUBLE[])) DESC, vec_id LIMIT 10",
+        "search_snippets": _SNIPPETS,
+        "detected_headings": _detected_headings(),
         "vector_topk_each": """WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE embedding IS NOT NULL),
 scored AS (SELECT q.vec_id AS query_id, v.vec_id, list_dot_product(v.e, q.e) AS s FROM v, (SELECT * FROM v WHERE vec_id % 20 = 0) AS q)
 SELECT query_id, vec_id, round(s, 5) AS score FROM scored QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY s DESC, vec_id) <= 10""",
