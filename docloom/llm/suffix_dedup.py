@@ -33,12 +33,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import bloom
-from .common import cut, discard, saved, text_of
+from .common import BROADCAST_ROWS, cut, discard, saved, text_of
 
 WIDTH = 200
 GRAM = 64
 PIECE = 1 << 19
-MOST_CONTEXTS = 16384
+MOST_CONTEXTS = 4096
 PLACE_BITS = 24
 
 #: Odd multipliers of the fingerprint: fixed values.
@@ -158,8 +158,9 @@ def removed(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[int,
 SPAN = "r1 long, r2 long, first int, last int"
 
 
-def repeated_spans(docs: DataFrame) -> DataFrame:
-    """docs: r1, r2 (a row's key), text. Rows (r1, r2, first, last): all 200-byte strings that start there occur again elsewhere."""
+def repeated_spans(docs: DataFrame) -> tuple[DataFrame, list[str]]:
+    """docs: r1, r2 (a row's key), text. Rows (r1, r2, first, last): all 200-byte strings that start there occur again elsewhere. Also the paths of
+    the tables that they are read from, for discard()."""
 
     def scanned(schema: str, emit):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,11 +217,16 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         held = pa.array([data[x : y + WIDTH].tobytes() for x, y in zip(lo[ok].tolist(), hi[ok].tolist(), strict=True)], pa.binary())
         yield as_batch(context, batch.column(0).take(at), batch.column(1).take(at), (lo[ok] - starts[doc]).astype(np.int32), (a[ok] - lo[ok]).astype(np.int32), key[ok], around[ok], held)
 
-    contexts = scanned(context, emit_contexts)
-    large = alive.filter(F.col("mixed") & (F.col("contexts") > MOST_CONTEXTS)).select("key").distinct()
-    small = contexts.join(large, "key", "left_anti") if not large.isEmpty() else contexts
     # of each pair one context is enough: the others are equal to it and known to repeat
-    small = small.groupBy("key", "around").agg(F.min(F.struct("r1", "r2", "base", "anchor", "bytes")).alias("one")).select("key", "one.*")
+    contexts = scanned(context, emit_contexts).groupBy("key", "around").agg(F.min(F.struct("r1", "r2", "base", "anchor", "bytes")).alias("one")).select("key", "one.*")
+    large = cut(alive.filter(F.col("mixed") & (F.col("contexts") > MOST_CONTEXTS)).select("key").distinct())
+    n_large, paths = large.count(), []
+    if n_large:  # read three times
+        contexts, path = saved(contexts)
+        paths.append(path)
+        # large keys stay where they are: dealt out, each would be in one place
+        large = F.broadcast(large) if n_large <= BROADCAST_ROWS else large
+    small = contexts.join(large, "key", "left_anti") if n_large else contexts
 
     def matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -251,7 +257,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
 
     found = small.repartition("key").sortWithinPartitions("key").mapInArrow(matched, SPAN)
     out = whole.unionByName(found)
-    if not large.isEmpty():
+    if n_large:
         named = "r1 long, r2 long, at int, key long, name long"
 
         def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -263,11 +269,11 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
                     where = pa.array(row)
                     yield as_batch(named, part.column("r1").take(where), part.column("r2").take(where), (at + part.column("base").to_numpy()[row]).astype(np.int32), key[row], name)
 
-        many = contexts.join(large, "key", "left_semi").groupBy("key", "around").agg(F.min(F.struct("r1", "r2", "base", "anchor", "bytes")).alias("one")).select("key", "one.*")
+        many = contexts.join(large, "key", "left_semi")
         names = many.select("r1", "r2", "base", "anchor", "key", "bytes").mapInArrow(explode, named)
         twice = cut(names.groupBy("key", "name").count().filter("count > 1").select("key", "name"))
         out = out.unionByName(names.join(twice, ["key", "name"]).select("r1", "r2", F.col("at").alias("first"), F.col("at").alias("last")))
-    return out
+    return out, paths
 
 
 def _pair_hash_column(key: str, around: str):
@@ -283,8 +289,10 @@ def suffix_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", with_
     """Per row: key, n_bytes, n_removed, n_spans, kept_sha256 and, with_bytes, the bytes that stay."""
     t = text_of(text)
     rows = docs.select(F.col(key), F.xxhash64(F.col(key), t).alias("r1"), F.xxhash64(F.lit("row"), t).alias("r2"), t.alias("text"))
-    found = repeated_spans(rows.select("r1", "r2", "text"))
+    found, paths = repeated_spans(rows.select("r1", "r2", "text"))
     found = cut(found.groupBy("r1", "r2").agg(F.collect_list("first").alias("first"), F.collect_list("last").alias("last")))
+    for path in paths:
+        discard(docs.sparkSession, path)
     n = found.count()
     # where the filter is too large to be sent, all texts meet their spans, which deals them out once as well
     marked = bloom.probed(rows, "r1", *bloom.sent(found, "r1", n)) if bloom.fits(n) else rows.withColumn("maybe", F.lit(True))
