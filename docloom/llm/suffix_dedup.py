@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import bloom
-from .common import BROADCAST_ROWS, cut, discard, saved, text_of
+from .common import BROADCAST_ROWS, HOT_KEYS, HOT_ROWS, cut, discard, saved, text_of
 
 WIDTH = 200
 GRAM = 64
@@ -186,12 +186,13 @@ def repeated_spans(docs: DataFrame) -> tuple[DataFrame, list[str]]:
     by_key = cut(by_key.withColumn("h", F.xxhash64("key")))
     likely = bloom.probed(by_pair.withColumn("h", F.xxhash64("key")), "h", *bloom.sent(by_key, "h", by_key.count())).filter("maybe")
     # every pair whose anchor repeats; `alike` pairs repeat as a whole, the others are edges
-    alive = cut(likely.select("key", "around", "n").join(by_key.drop("h"), "key").selectExpr("key", "around", "n > 1 as alike", "edges > 0 as mixed", "contexts"))
+    alive = cut(likely.select("key", "around", "n").join(by_key.drop("h"), "key").selectExpr("key", "around", "n", "n > 1 as alike", "edges > 0 as mixed", "contexts"))
     discard(docs.sparkSession, path)
 
     hashed = alive.withColumn("h", _pair_hash_column("key", "around"))
     alike, mixed = hashed.filter("alike"), hashed.filter("mixed")
-    n_alike, n_mixed = alive.agg(F.coalesce(F.sum(F.col("alike").cast("int")), F.lit(0)), F.coalesce(F.sum(F.col("mixed").cast("int")), F.lit(0))).first()
+    total = lambda x: F.coalesce(F.sum(x), F.lit(0))
+    n_alike, n_mixed, n_runs = alive.agg(total(F.col("alike").cast("int")), total(F.col("mixed").cast("int")), total(F.when(F.col("alike"), F.col("n")))).first()
 
     # runs that repeat as a whole
     place = SPAN + ", " + pair
@@ -203,7 +204,13 @@ def repeated_spans(docs: DataFrame) -> tuple[DataFrame, list[str]]:
         at = pa.array(doc)
         yield as_batch(place, batch.column(0).take(at), batch.column(1).take(at), lo.astype(np.int32), hi.astype(np.int32), key[ok], around[ok])
 
-    whole = scanned(place, emit_runs).join(alike.select("key", "around"), ["key", "around"]).select("r1", "r2", "first", "last")
+    # a pair with many runs is dealt out in parts; there can't be more than HOT_KEYS such pairs
+    most = max(HOT_ROWS, n_runs // HOT_KEYS)
+    parts = alike.select("key", "around", F.ceil(F.col("n") / most).cast("int").alias("parts"))
+    hot = F.broadcast(parts.filter("parts > 1"))
+    part = F.pmod(F.xxhash64("r1", "r2", "first"), F.coalesce("parts", F.lit(1))).cast("int").alias("part")
+    dealt = scanned(place, emit_runs).join(hot, ["key", "around"], "left").select("r1", "r2", "first", "last", "key", "around", part)
+    whole = dealt.join(parts.select("key", "around", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")), ["key", "around", "part"]).select("r1", "r2", "first", "last")
 
     # edges: the bytes around anchors that have at least one
     context = "r1 long, r2 long, base int, anchor int, key long, around long, bytes binary"
