@@ -102,6 +102,15 @@ def test_suffix_dedup(docs, monkeypatch):
         assert collections.Counter(tuple(r) for r in suffix_dedup.suffix_dedup(docs).collect()) == want
 
 
+def test_suffix_dedup_of_hot_runs(docs, monkeypatch):
+    twice = docs.unionByName(docs)  # every run repeats
+    want = collections.Counter(tuple(r) for r in suffix_dedup.suffix_dedup(twice).collect())
+    monkeypatch.setattr(suffix_dedup, "HOT_ROWS", 1)
+    monkeypatch.setattr(suffix_dedup, "HOT_KEYS", 1 << 40)  # a part for each run
+    assert collections.Counter(tuple(r) for r in suffix_dedup.suffix_dedup(twice).collect()) == want
+    assert all(n_removed == n_bytes for _, n_bytes, n_removed, *_ in want if n_bytes >= 200)
+
+
 def test_near_classes(docs):
     def bag(t):
         w = WORD.findall(t or "")
