@@ -7,12 +7,14 @@ where the text lies, and what Spark sorts and counts are ranks, never text. Posi
 1. In each 200-byte string one 64-byte string inside is its anchor (the one of least rank, the first of several). Equal strings have
    equal anchors at the same place, so runs of positions with one anchor are handled as one. Runs are counted by the anchor's rank;
    an anchor that occurs once ends its run.
-2. Runs are counted by anchor and by the rank of all bytes their strings touch. Where that pair occurs twice the whole run repeats.
+2. Runs are counted by anchor and by the rank of all bytes their strings touch. Where that pair occurs twice the whole run repeats; the runs of a
+   pair that many share are dealt out in parts.
 3. Runs whose anchor repeats but not the bytes around it, the edges of a repeat, bring those bytes (at most 336) together by anchor,
    where their positions are ranked at 200 bytes. Of an anchor with more than MOST_CONTEXTS different surroundings the ranked positions
    themselves are counted by Spark, which no group size can overload.
 
-A Bloom filter of the pairs that matter keeps what leaves the text scans small; it is a prefilter, and what passes is joined exactly.
+A Bloom filter of the pairs that matter keeps what leaves the text scans small; it is a prefilter, and what passes is joined exactly. Filters of
+anchors and of documents go to all tasks up to 64 MiB; a larger one of anchors is dealt out by slice, one of documents isn't used.
 Two different strings are taken for equal only if their 64-bit ranks agree next to an equal anchor rank (about 2^-128 a pair).
 Texts are cut in no way: a long one is ranked in pieces of PIECE positions that overlap. The texts themselves are shuffled once, to
 meet their removed spans, and only those that a filter of the documents with spans lets through.
