@@ -164,7 +164,7 @@ def bookmark_headings(spark, d):
     toc = part.select(F.col("p_brand").alias("doc_id"), F.col("p_partkey").alias("ord"), (F.col("p_size") % 5).alias("level"), F.concat(F.lit("  "), "p_name", F.lit(" ")).alias("title"), F.col("p_partkey").alias("page"))
     lines = part.select(F.col("p_brand").alias("doc_id"), F.col("p_partkey").alias("page"), F.explode(F.sequence(F.lit(0), F.lit(2))).alias("line_idx"), "p_name", "p_size")
     lines = lines.select("doc_id", "page", "line_idx", F.when((F.col("line_idx") == 2) & (F.col("p_size") % 2 == 0), F.col("p_name")).otherwise(F.lit("0")).alias("text"))
-    documents = part.select(F.col("p_brand").alias("doc_id"), F.lit(1_000_000).alias("page_count")).distinct()
+    documents = part.groupBy(F.col("p_brand").alias("doc_id")).agg(F.max("p_partkey").alias("page_count"))  # a part a page: the last one ends the document
     return headings.bookmarks_to_headings(headings.clean_bookmarks(toc, documents), lines).select("doc_id", "page", "level", "title", "line_idx")
 
 
