@@ -14,3 +14,11 @@ def test_bookmarks_of_large_part_keys(spark, tmp_path):
     want = duck.sql(oracle.oracle_sql()["bookmark_headings"])
     assert got.columns == want.columns and len(want.fetchall()) == 3
     assert sorted(tuple(r) for r in got.collect()) == sorted(want.fetchall())
+
+
+def test_tied_intervals_are_one(spark):
+    from docloom.operators import overlap
+
+    days = [(1, 0, 60), (1, 200, 260), (1, 200, 260), (1, 200, 260), (1, 261, 300), (2, 5, 65), (2, 5, 65), (2, 65, 70)]
+    got = overlap.merged_intervals(spark.createDataFrame(days, "k int, a int, b int").repartition(3), "k", "a", "b")
+    assert sorted(tuple(r) for r in got.collect()) == [(1, 0, 60, 1), (1, 200, 260, 3), (1, 261, 300, 1), (2, 5, 70, 3)]
