@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.ids import make_id
 from ..functions.similarity import token_set_ratio
+from ..functions.udf import vectorised
 from .library import Library, evidence_rows, record_rows
 from .records import record_id
 from .terms import normalise, term_key
@@ -25,28 +26,53 @@ def entity_id(entity_type: Column, name: Column) -> Column:
     return make_id("ent", entity_type, term_key(kind, name))
 
 
-MERGED = "record_id string, field string, pos int, text string, basis string, evidence array<string>"
+STATEMENTS = "array<struct<field:string,text:string,basis:string,evidence:array<string>>>"
 
 
-def merged_statements(statements: DataFrame, order: tuple[str, ...] = ("seq", "pos")) -> DataFrame:
-    """statements: record_id, field, text, basis, evidence and the order columns. A field's statements of one record's occurrences, folded
-    in order: the first is taken as it stands, later ones are compared with all that stayed."""
+def _folded_field(given: list[tuple[int, dict]]) -> list[tuple]:
+    """(seq, statement) of one field in order: those of the first occurrence are taken as they stand, later ones are compared with all that stayed.
+    A text that came before needs no second comparison, and evidence grows in a dict."""
+    held: list[tuple[str, str, str, dict | list]] = []
+    known: dict[str, int] = {}  # the place of the twin of each text: what is held stays in its place
+    for seq, s in given:
+        low, own = s["text"].lower(), list(s["evidence"])
+        twin = None
+        if seq != given[0][0]:
+            twin = known[low] if low in known else next((k for k, o in enumerate(held) if token_set_ratio(o[2], low) >= SIMILAR), None)
+        if twin is None:
+            held.append((s["text"], s["basis"], low, own))
+            continue
+        known[low] = twin
+        text, basis, key, evidence = held[twin]
+        if isinstance(evidence, list):
+            evidence = dict.fromkeys(evidence)
+            held[twin] = (text, basis, key, evidence)
+        evidence.update(dict.fromkeys(own))
+    return [(text, basis, list(evidence)) for text, basis, _, evidence in held]
 
-    def fold(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(list(order))
-        first = frame[order[0]] == frame[order[0]].iloc[0]
-        start = [(t, b, list(e)) for t, b, e in zip(frame["text"][first], frame["basis"][first], frame["evidence"][first], strict=True)]
-        held = [[t, b, e, t.lower()] for t, b, e in start]
-        for text, basis, evidence in zip(frame["text"][~first], frame["basis"][~first], frame["evidence"][~first], strict=True):
-            twin = next((o for o in held if token_set_ratio(o[3], text.lower()) >= SIMILAR), None)
-            if twin is None:
-                held.append([text, basis, list(evidence), text.lower()])
-            else:
-                twin[2] = list(dict.fromkeys([*twin[2], *evidence]))
-        rid, field = frame["record_id"].iloc[0], frame["field"].iloc[0]
-        return pd.DataFrame([(rid, field, i, *o[:3]) for i, o in enumerate(held)], columns=[c.split()[0] for c in MERGED.split(", ")])
 
-    return statements.groupBy("record_id", "field").applyInPandas(fold, MERGED)
+@vectorised(STATEMENTS)
+def merged_statements(occurrences: pd.Series) -> pd.Series:
+    """occurrences: arrays of seq and x, the statements of one occurrence of a record, in order. The statements of the merged record, by field; null for
+    null."""
+
+    def fold(rows) -> list[dict]:
+        fields: dict[str | None, list[tuple[int, dict]]] = {}
+        for o in rows:
+            for s in o["x"]:
+                fields.setdefault(s["field"], []).append((o["seq"], s))
+        order = sorted(fields, key=lambda f: (f is not None, f or ""))
+        return [{"field": f, "text": t, "basis": b, "evidence": e} for f in order for t, b, e in _folded_field(fields[f])]
+
+    return pd.Series([None if rows is None else fold(rows) for rows in occurrences], dtype=object)
+
+
+def firsts(entries: Column, key=lambda e: e) -> Column:
+    """The entries of an array before which none has the same key, in order. They are found by sorting: Spark's own array_distinct compares each
+    struct with all that it kept."""
+    keyed = F.array_sort(F.transform(entries, lambda e, i: F.struct(key(e).alias("k"), i.alias("i"), e.alias("e"))))
+    new = F.zip_with(keyed, F.concat(F.array(F.lit(None)), keyed), lambda x, before: F.when(before.isNull() | ~x["k"].eqNullSafe(before["k"]), F.struct(x["i"].alias("i"), x["e"].alias("e"))))
+    return F.transform(F.array_sort(F.filter(new, lambda x: x["i"].isNotNull())), lambda x: x["e"])
 
 
 #: Columns of checked records that a merged record keeps from its first occurrence.
@@ -63,11 +89,8 @@ def merged_records(records: DataFrame) -> DataFrame:
     """Records of one id, folded in order of doc_id, section_index and ord: the first keeps its type, topic, status, validation and provenance
     (FIRST_COLUMNS, where the table has them); blanks are filled from later ones, lists grow by what is new, evidence by what has a new id, citations
     are joined, flags are or-ed, reasons are put together. Records of one id with different types are an error: ids are made of types."""
-    order = ["doc_id", "section_index", "ord"]
-    w = Window.partitionBy("record_id").orderBy(*order)
-    own = records.withColumn("seq", F.row_number().over(w))
-    statements = merged_statements(own.select("record_id", "seq", F.posexplode("statements").alias("pos", "s")).select("record_id", "seq", "pos", "s.*"))
-    lists = statements.groupBy("record_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("field", "pos", "text", "basis", "evidence"))), lambda s: F.struct(s["field"].alias("field"), s["text"].alias("text"), s["basis"].alias("basis"), s["evidence"].alias("evidence"))).alias("statements"))
+    order = ["doc_id", "section_index", "ord", *[c for c in ("section_id", "key") if c in records.columns]]  # the last two for ties only
+    own = records.withColumn("seq", F.row_number().over(Window.partitionBy("record_id").orderBy(*order)))
 
     def ordered(column: str) -> Column:
         """All entries of an array column, those of the first record first."""
@@ -76,20 +99,23 @@ def merged_records(records: DataFrame) -> DataFrame:
     first = lambda c: F.min_by(F.col(c), F.when(F.col(c).isNotNull(), F.col("seq")))
     filled = lambda c: F.min_by(F.col(c), F.when(F.coalesce(F.col(c), F.lit("")) != "", F.col("seq")))
     cited = F.transform(F.array_sort(F.collect_list(F.when(F.coalesce("citation", F.lit("")) != "", F.struct("seq", "citation")))), lambda s: s["citation"])
-    every = ordered("evidence")
-    evidence = F.filter(every, lambda e, i: F.array_position(F.transform(every, lambda x: x["id"]), e["id"]) == i + 1)
+    evidence = firsts(F.filter(ordered("evidence"), lambda e: e["id"].isNotNull()), lambda e: e["id"])
+    occurrences = F.array_sort(F.collect_list(F.when(F.col("statements").isNotNull(), F.struct("seq", F.col("statements").alias("x")))))
     kept = [F.min_by(c, "seq").alias(c) for c in FIRST_COLUMNS if c in records.columns]
     kept += [F.array_distinct(ordered("review_reasons")).alias("review_reasons")] if "review_reasons" in records.columns else []
     kept += [F.max("low_ocr").alias("low_ocr")] if "low_ocr" in records.columns else []
     out = own.groupBy("record_id").agg(
-        F.min_by("record_type", "seq").alias("record_type"), F.countDistinct("record_type").alias("__types"), F.min_by("name", "seq").alias("name"), filled("case_name").alias("case_name"), merged_citations(cited).alias("citation"), filled("court").alias("court"), first("date").alias("date"),
-        F.array_distinct(ordered("parties")).alias("parties"), F.array_distinct(ordered("laws")).alias("laws"), ordered("comparison").alias("comparison"), F.array_distinct(ordered("subjects")).alias("subjects"), F.array_distinct(ordered("dimensions")).alias("dimensions"),
-        F.array_distinct(ordered("concept_illustrated")).alias("concept_illustrated"), F.array_distinct(ordered("related")).alias("related"), evidence.alias("evidence"), F.struct(first("topic").alias("topic"), F.min_by("subtopic", F.when(F.col("topic").isNotNull(), F.col("seq"))).alias("subtopic")).alias("__t"),
-        F.max("proprietary").alias("proprietary"), F.array_distinct(ordered("reasons")).alias("reasons"), F.array_distinct(ordered("identifiers")).alias("identifiers"), F.count("*").alias("n_merged"), *kept,
+        F.min_by("record_type", "seq").alias("record_type"), F.countDistinct("record_type").alias("__types"), F.min_by("name", "seq").alias("name"), filled("case_name").alias("case_name"), merged_citations(F.array_distinct(cited)).alias("citation"), filled("court").alias("court"), first("date").alias("date"),
+        firsts(ordered("parties")).alias("parties"), firsts(ordered("laws")).alias("laws"), ordered("comparison").alias("comparison"), F.array_distinct(ordered("subjects")).alias("subjects"), F.array_distinct(ordered("dimensions")).alias("dimensions"),
+        F.array_distinct(ordered("concept_illustrated")).alias("concept_illustrated"), firsts(ordered("related")).alias("related"), evidence.alias("evidence"), F.struct(first("topic").alias("topic"), F.min_by("subtopic", F.when(F.col("topic").isNotNull(), F.col("seq"))).alias("subtopic")).alias("__t"),
+        F.max("proprietary").alias("proprietary"), F.array_distinct(ordered("reasons")).alias("reasons"), firsts(ordered("identifiers")).alias("identifiers"), F.count("*").alias("n_merged"), occurrences.alias("__s"), *kept,
     )
     clash = F.raise_error(F.concat(F.lit("records of different types have the id "), "record_id"))
     out = out.withColumn("record_type", F.when(F.col("__types") == 1, F.col("record_type")).otherwise(clash.cast("string"))).drop("__types")
-    return out.join(lists, "record_id", "left").select("*", "__t.topic", "__t.subtopic").drop("__t").withColumn("statements", F.coalesce("statements", F.expr("cast(array() as array<struct<field:string,text:string,basis:string,evidence:array<string>>>)")))
+    several = F.col("n_merged") > 1
+    alone = F.transform(F.array_sort(F.transform(F.get("__s", F.lit(0))["x"], lambda s, i: F.struct(s["field"].alias("field"), i.alias("i"), s.alias("s")))), lambda x: x["s"])
+    statements = F.when(several, merged_statements(F.when(several, F.col("__s")))).otherwise(F.coalesce(alone, F.array().cast(STATEMENTS)))
+    return out.withColumn("statements", statements).select("*", "__t.topic", "__t.subtopic").drop("__t", "__s")
 
 
 def with_entities(records: DataFrame) -> DataFrame:

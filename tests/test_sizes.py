@@ -1,6 +1,7 @@
 """What only shows on larger tables, on small ones."""
 
 import pytest
+from pyspark.sql import functions as F
 
 
 def test_bookmarks_of_large_part_keys(spark, tmp_path):
@@ -22,3 +23,30 @@ def test_tied_intervals_are_one(spark):
     days = [(1, 0, 60), (1, 200, 260), (1, 200, 260), (1, 200, 260), (1, 261, 300), (2, 5, 65), (2, 5, 65), (2, 65, 70)]
     got = overlap.merged_intervals(spark.createDataFrame(days, "k int, a int, b int").repartition(3), "k", "a", "b")
     assert sorted(tuple(r) for r in got.collect()) == [(1, 0, 60, 1), (1, 200, 260, 3), (1, 261, 300, 1), (2, 5, 70, 3)]
+
+
+def occurrences(spark, n):
+    """A rule that n sections have: each with a provision and evidence of its own, all with one statement but for its case."""
+    notes = "array(concat('s', id, ':f1'), concat('s', id, ':f2'))"
+    return spark.range(n).selectExpr(
+        "'rec_1' AS record_id", "'RULE' AS record_type", "concat('s', id) AS section_id", "concat('d', id % 97) AS doc_id", "cast(id AS int) AS section_index", "0 AS ord", "'i1' AS key", "'levy' AS name", "cast(null AS string) AS case_name", "cast(null AS string) AS citation",
+        "cast(null AS string) AS court", "cast(null AS struct<value:string,precision:string>) AS date", "cast(null AS array<struct<name:string,role:string>>) AS parties", "array(named_struct('statute', '', 'provision', concat('Section ', id, 'F'), 'quoted_provision', cast(null AS string))) AS laws",
+        f"array(named_struct('field', 'requirements', 'text', if(id % 2 = 0, 'Notice is given', 'notice is GIVEN'), 'basis', 'source', 'evidence', {notes})) AS statements", "cast(array() AS array<struct<subject:string,attribute:string,value:string,evidence:array<string>>>) AS comparison",
+        "cast(null AS array<string>) AS subjects", "cast(null AS array<string>) AS dimensions", "cast(null AS array<string>) AS concept_illustrated", "cast(array() AS array<struct<name:string,type:string,relation:string>>) AS related",
+        f"transform({notes}, e -> named_struct('id', e, 'doc_id', concat('d', id % 97), 'pages', array(1))) AS evidence", "named_struct('id', 't', 'name', 'T') AS topic", "named_struct('id', 'u', 'name', 'U') AS subtopic", "false AS proprietary", "cast(array() AS array<string>) AS reasons",
+        "array(named_struct('kind', 'provision', 'value', concat('S. ', id, '-F'), 'role', '', 'pages', array(1))) AS identifiers",
+    )
+
+
+def test_merge_of_many_occurrences(spark):
+    import time
+
+    from docloom.operators import link
+
+    began, n = time.monotonic(), 12_000
+    own = occurrences(spark, n)
+    (row,) = link.merged_records(own.unionByName(own.withColumn("ord", F.lit(1)))).collect()  # each of them twice
+    assert row.n_merged == 2 * n and len({e.id for e in row.evidence}) == len(row.evidence) == 2 * n and len(row.laws) == len(row.identifiers) == n
+    assert [(s.field, s.text, len(s.evidence)) for s in row.statements] == [("requirements", "Notice is given", 2 * n)]
+    assert [e.id for e in row.evidence[:3]] == ["s0:f1", "s0:f2", "s97:f1"] and row.laws[1].provision == "Section 97F"
+    assert time.monotonic() - began < 60
