@@ -50,3 +50,16 @@ def test_merge_of_many_occurrences(spark):
     assert [(s.field, s.text, len(s.evidence)) for s in row.statements] == [("requirements", "Notice is given", 2 * n)]
     assert [e.id for e in row.evidence[:3]] == ["s0:f1", "s0:f2", "s97:f1"] and row.laws[1].provision == "Section 97F"
     assert time.monotonic() - began < 60
+
+
+def test_evidence_of_many_occurrences(spark):
+    import time
+
+    from docloom.operators import library, link
+
+    began, n = time.monotonic(), 12_000
+    own = occurrences(spark, n)
+    moved = own.withColumn("ord", F.lit(1)).withColumn("evidence", F.expr("transform(evidence, e -> named_struct('id', e.id, 'doc_id', 'other', 'pages', array(9)))"))
+    rows = library.evidence_rows(link.merged_records(own.unionByName(moved))).collect()  # of equal ids the first occurrence's stays
+    assert sorted((r.evidence_id, r.doc_id, r.page_start, r.page_end) for r in rows) == sorted((f"s{i}:{f}", f"d{i % 97}", 1, 1) for i in range(n) for f in ("f1", "f2"))
+    assert time.monotonic() - began < 60
