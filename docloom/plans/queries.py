@@ -5,6 +5,7 @@ The tables hold no legal prose, so sections with identifiers are written from cu
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -483,11 +484,22 @@ def export_sources(spark, d):
     return own.select("record_id", first["document_id"].alias("first_doc"), first["original_file"].alias("first_file"), first["page_start"].alias("page_start"), first["page_end"].alias("page_end"), (F.size("sources") - 1).alias("n_more"))
 
 
-def knowledge_export(spark, d):
+def checked_records(spark, d):
     own, sections = built(spark, d)
     checked = validate.validate(own, sections).filter("status <> 'REGENERATE'")
-    files = sections.select("doc_id", F.concat("doc_id", F.lit(".pdf")).alias("filename")).distinct()
-    out = export.knowledge_records(checked, files)
+    return checked, sections.select("doc_id", F.concat("doc_id", F.lit(".pdf")).alias("filename")).distinct()
+
+
+def written_once(rows: DataFrame) -> DataFrame:
+    """Rows that an export reads twice, for their content and for their sources, on the executors' disks: they are built and checked once. Without what
+    no export shows."""
+    hidden = ("overlap", "identifiers", "errors", "warnings", "copied", "reasons")
+    return rows.drop(*hidden).localCheckpoint(storageLevel=StorageLevel.DISK_ONLY)
+
+
+def knowledge_export(spark, d):
+    checked, files = checked_records(spark, d)
+    out = export.knowledge_records(written_once(checked), files)
     return out.select("record_id", "content_type", "title", "topic", "subtopic", "knowledge", F.col("source.document_id").alias("document"), F.col("source.page_start").alias("page_start"), F.col("validation.reason").alias("reason"))
 
 
@@ -498,9 +510,7 @@ def export_overview(spark, d):
 
 def merged_knowledge(spark, d):
     """What is exported of checked records that were merged."""
-    own, sections = built(spark, d)
-    checked = validate.validate(own, sections).filter("status <> 'REGENERATE'")
-    files = sections.select("doc_id", F.concat("doc_id", F.lit(".pdf")).alias("filename")).distinct()
+    checked, files = checked_records(spark, d)
     out = export.knowledge_records(link.merged_records(checked), files)
     return out.select("record_id", "content_type", F.col("validation.status").alias("status"), (F.size("additional_sources") + 1).alias("n_sources"))
 

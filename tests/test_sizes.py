@@ -63,3 +63,24 @@ def test_evidence_of_many_occurrences(spark):
     rows = library.evidence_rows(link.merged_records(own.unionByName(moved))).collect()  # of equal ids the first occurrence's stays
     assert sorted((r.evidence_id, r.doc_id, r.page_start, r.page_end) for r in rows) == sorted((f"s{i}:{f}", f"d{i % 97}", 1, 1) for i in range(n) for f in ("f1", "f2"))
     assert time.monotonic() - began < 60
+
+
+def test_exact_terms_need_no_pattern_of_all_terms():
+    from docloom.operators import overlap
+
+    overlap._patterns.clear()
+    text = "Under Section 7F the employer shall give due process and due notice to the worker, whatever the district court said of it in its long opinion."
+    for i in range(40):  # none of them stands in the text
+        overlap.measure(["Notice is given to all workers"], text, (f"S. {i}-G", f"levy {i}"))
+    assert len(overlap._patterns) <= 2
+    # a longer exact term goes before a term of art that begins with it, one that begins later doesn't
+    assert overlap.masked_words("they give due process rights to all", "#", ("Due  Process rights",)) == ["they", "give", "#", "to", "all"]
+    assert overlap.masked_words("they give due process rights to all", "#", ("process rights",)) == ["they", "give", "#", "rights", "to", "all"]
+
+
+@pytest.mark.parametrize("name", ["knowledge_export"])
+def test_exports_check_records_once(spark, name):
+    from docloom.plans import queries
+
+    plan = queries.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "EvalPython" not in plan and "MapInPandas" not in plan  # what needs Python was done before both sides read it
