@@ -511,7 +511,7 @@ def export_overview(spark, d):
 def merged_knowledge(spark, d):
     """What is exported of checked records that were merged."""
     checked, files = checked_records(spark, d)
-    out = export.knowledge_records(link.merged_records(checked), files)
+    out = export.knowledge_records(written_once(link.merged_records(checked)), files)
     return out.select("record_id", "content_type", F.col("validation.status").alias("status"), (F.size("additional_sources") + 1).alias("n_sources"))
 
 

@@ -78,7 +78,7 @@ def test_exact_terms_need_no_pattern_of_all_terms():
     assert overlap.masked_words("they give due process rights to all", "#", ("process rights",)) == ["they", "give", "#", "rights", "to", "all"]
 
 
-@pytest.mark.parametrize("name", ["knowledge_export"])
+@pytest.mark.parametrize("name", ["knowledge_export", "merged_knowledge"])
 def test_exports_check_records_once(spark, name):
     from docloom.plans import queries
 
