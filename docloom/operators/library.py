@@ -197,7 +197,11 @@ def record_rows(records: DataFrame) -> DataFrame:
 
 def evidence_rows(records: DataFrame) -> DataFrame:
     """record_id, evidence_id, doc_id, page_start, page_end."""
-    own = records.select("record_id", F.explode("evidence").alias("e"))
+    return evidence_columns(records.select("record_id", F.explode("evidence").alias("e")))
+
+
+def evidence_columns(own: DataFrame) -> DataFrame:
+    """own: record_id and one piece of evidence e."""
     return own.select("record_id", F.col("e.id").alias("evidence_id"), "e.doc_id", F.array_min("e.pages").alias("page_start"), F.array_max("e.pages").alias("page_end"))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions.ids import make_id
 from ..functions.similarity import token_set_ratio
 from ..functions.udf import vectorised
-from .library import Library, evidence_rows, record_rows
+from .library import Library, evidence_columns, evidence_rows, record_rows
 from .records import record_id
 from .terms import normalise, term_key
 
@@ -85,12 +85,25 @@ def merged_citations(lists: Column) -> Column:
     return F.when(whole != "", whole)
 
 
+def _order(records: DataFrame) -> list[str]:
+    """The columns that occurrences of one record are folded by."""
+    return ["doc_id", "section_index", "ord", *[c for c in ("section_id", "key") if c in records.columns]]  # the last two for ties only
+
+
+def merged_evidence(records: DataFrame) -> DataFrame:
+    """evidence_rows of merged_records, for those who need nothing else of them: of the evidence of one record and id the first in the order of
+    merged_records stays. Nothing is folded, so a record of many occurrences isn't one row of one task."""
+    order = _order(records)
+    own = records.select("record_id", *order, F.posexplode_outer("evidence").alias("__pos", "e")).filter("e.id is not null")
+    first = F.row_number().over(Window.partitionBy("record_id", "e.id").orderBy(*order, "__pos")) == 1
+    return evidence_columns(own.withColumn("__first", first).filter("__first"))
+
+
 def merged_records(records: DataFrame) -> DataFrame:
     """Records of one id, folded in order of doc_id, section_index and ord: the first keeps its type, topic, status, validation and provenance
     (FIRST_COLUMNS, where the table has them); blanks are filled from later ones, lists grow by what is new, evidence by what has a new id, citations
     are joined, flags are or-ed, reasons are put together. Records of one id with different types are an error: ids are made of types."""
-    order = ["doc_id", "section_index", "ord", *[c for c in ("section_id", "key") if c in records.columns]]  # the last two for ties only
-    own = records.withColumn("seq", F.row_number().over(Window.partitionBy("record_id").orderBy(*order)))
+    own = records.withColumn("seq", F.row_number().over(Window.partitionBy("record_id").orderBy(*_order(records))))
 
     def ordered(column: str) -> Column:
         """All entries of an array column, those of the first record first."""

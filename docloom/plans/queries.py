@@ -565,7 +565,7 @@ def record_counts(spark, d):
 
 def record_evidence(spark, d):
     own, _ = built(spark, d)
-    return library.evidence_rows(link.merged_records(own))
+    return link.merged_evidence(own)
 
 
 def requests(spark, d):

@@ -84,3 +84,41 @@ def test_exports_check_records_once(spark, name):
 
     plan = queries.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "EvalPython" not in plan and "MapInPandas" not in plan  # what needs Python was done before both sides read it
+
+
+def test_merged_evidence_needs_no_folding(spark):
+    from docloom.operators import library, link
+    from docloom.plans import queries
+
+    own = occurrences(spark, 200)
+    moved = own.withColumns({"ord": F.lit(1), "evidence": F.expr("transform(evidence, e -> named_struct('id', e.id, 'doc_id', 'other', 'pages', array(9, 4)))")})
+    blank = own.filter("section_index < 9").withColumns({"record_id": F.lit(None).cast("string"), "evidence": F.expr("if(section_index % 3 = 0, null, if(section_index % 3 = 1, slice(evidence, 1, 0), array_repeat(evidence[0], 2)))")})
+    unnamed = own.withColumns({"ord": F.lit(2), "evidence": F.expr("array(named_struct('id', cast(null AS string), 'doc_id', 'd', 'pages', array(1)), named_struct('id', concat('n', section_index % 7), 'doc_id', doc_id, 'pages', cast(array() AS array<int>)))")})
+    both = moved.unionByName(own).unionByName(blank).unionByName(unnamed)
+    got, want = link.merged_evidence(both), library.evidence_rows(link.merged_records(both))
+    assert got.columns == want.columns
+    order = lambda rows: sorted(map(str, rows.collect()))
+    assert order(got) == order(want) and got.count() == 2 * 200 + 3 + 7
+    plan = queries.queries()["record_evidence"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and plan.count("ArrowEvalPython [") == 1  # first by id, and texts go to Python once
+
+
+def test_likest_notes_of_many_items():
+    import random
+    import time
+
+    import pandas as pd
+
+    from docloom.functions.similarity import token_set_ratio
+    from docloom.operators.records import NOTE_SCORE, likest_notes
+
+    dice, words = random.Random(5), "claims fail pay a charge firms levy late Notice".split()
+    text = lambda n: " ".join(dice.choices(words, k=n))
+    for _ in range(300):
+        wanted, ids, notes = text(4).lower(), dice.choices(["f1", "f2", "f10", "ä", "Z"], k=4), [text(dice.randint(0, 5)) for _ in range(4)]
+        scores = pd.Series({i: token_set_ratio(wanted, n.lower()) for i, n in zip(ids, notes, strict=True)}, dtype=float).sort_index(ascending=False)
+        assert likest_notes(wanted, ids, notes) == scores[scores >= NOTE_SCORE].sort_values(ascending=False, kind="stable").index[:2].tolist()
+    began = time.monotonic()
+    for _ in range(20_000):
+        likest_notes("a charge that machinery firms pay", ["f1", "f2"], ["claims fail in France", "Machinery firms pay a charge"])
+    assert time.monotonic() - began < 2
