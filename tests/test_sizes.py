@@ -122,3 +122,23 @@ def test_likest_notes_of_many_items():
     for _ in range(20_000):
         likest_notes("a charge that machinery firms pay", ["f1", "f2"], ["claims fail in France", "Machinery firms pay a charge"])
     assert time.monotonic() - began < 2
+
+
+def test_items_of_many_notes(spark):
+    import time
+
+    from docloom.operators import records
+
+    n, rows = 500, 24
+    fact = "named_struct('id', concat('n-', f), 'fact_type', 'fact', 'note', concat('claim ', f), 'pages', array(f % 7, 3), 'support', 'explicit', 'proprietary', false)"
+    items = spark.range(rows).selectExpr(
+        "concat('s', id) AS section_id", "0 AS ord", "'i1' AS key", "'RULE' AS record_type", "'levy' AS name", "'' AS heading", "cast(array() AS array<struct<kind:string,value:string,role:string,pages:array<int>>>) AS identifiers", f"transform(sequence({n}, 1, -1), f -> {fact}) AS facts",
+        "cast(array() AS array<struct<name:string,type:string,relation:string>>) AS related", "false AS proprietary", "'' AS proprietary_reason", "'' AS quoted_provision",
+    )
+    cited = "array('[N-7]', '7', 'f7', 'note500', 'n-500', '501', 'f 500')"  # 7 is the last part of n-7 and the number of n-494: the first of both has it
+    composed = items.selectExpr("section_id", "key", f"array(named_struct('field', 'requirements', 'text', 'Pay', 'basis', 'source', 'facts', {cited})) AS statements", "cast(array() AS array<struct<subject:string,attribute:string,value:string,facts:array<string>>>) AS comparison_items", "array('') AS concept_illustrated")
+    sections = items.selectExpr("section_id", "'d' AS doc_id", "1 AS index", "array('T', 'U') AS topic_path", "2 AS page_start", "4 AS page_end")
+    began = time.monotonic()
+    got = records.build_records(items, composed, sections).select("section_id", "evidence").collect()
+    assert time.monotonic() - began < 20 and len(got) == rows
+    assert {tuple((e.id.split(":")[1], tuple(e.pages)) for e in r.evidence) for r in got} == {(("n-7", (3,)), ("n-494", (3, 4)), ("n-1", (3,)), ("n-500", (3, 3)))}
